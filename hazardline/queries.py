@@ -1,0 +1,54 @@
+"""Query catalogue: SURVEY section 2 keys -> callables (spark, sf_dir) -> DataFrame.
+
+Every query reads the driver's tables through the derived fixture views and
+runs over whole tables; the request is the reference back-test (knowledge time
+2019-09-17T16:00Z, 13 training weeks, 100 records per curve) over every ship
+date the processing plan selects.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hazardline import jobs
+from hazardline.params import REFERENCE_KT, RunParams
+from hazardline.session import ensure_utc
+from hazardline.sources.fixtures import fixture_sources
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(name: str):
+    def deco(fn):
+        QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def reference_params(**kw) -> RunParams:
+    return RunParams(knowledge_time=REFERENCE_KT, **kw)
+
+
+def _setup(spark: SparkSession, sf_dir: str, **kw):
+    ensure_utc(spark)
+    return fixture_sources(spark, sf_dir), reference_params(**kw)
+
+
+def r9(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 9)
+
+
+@query("training_set")
+def q_training_set(spark, sf_dir):
+    src, p = _setup(spark, sf_dir)
+    return jobs.training_plan(spark, src, p).training
+
+
+@query("kaplan_meier")
+def q_kaplan_meier(spark, sf_dir):
+    src, p = _setup(spark, sf_dir)
+    c = jobs.train(spark, src, p)
+    return c.select("ship_date", "grp", "timeline", r9("survival_rate").alias("survival_rate"))
