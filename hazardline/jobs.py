@@ -59,3 +59,39 @@ def quality_gate(df: DataFrame, what: str) -> DataFrame:
     if df.limit(1).count() == 0:
         raise QualityGateError(f"empty {what}")
     return df
+
+
+@dataclass
+class CorrectionPlan:
+    targets: DataFrame
+    ordinals: DataFrame
+    cohorts: DataFrame
+    actuals: DataFrame
+    predicted: DataFrame
+    corrected: DataFrame
+    final: DataFrame
+
+
+def correction_plan(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame | None = None,
+                    targets: DataFrame | None = None) -> CorrectionPlan:
+    """The correction for every target date; ``curves`` default to training the same dates."""
+    from hazardline.operators.actuals import actuals
+    from hazardline.operators.correction import corrected, final_prediction
+    from hazardline.operators.facts import delivery_ordinals
+    from hazardline.operators.prediction import birth_cohorts, predicted
+    ensure_utc(spark)
+    targets = targets if targets is not None else target_dates(spark, src, p, "correct")
+    if curves is None:
+        curves = train(spark, src, p, targets)
+    ordinals = delivery_ordinals(src, p, targets)
+    cohorts = birth_cohorts(ordinals)
+    act = actuals(src, p, targets)
+    pred = predicted(cohorts, curves)
+    corr = corrected(pred, act)
+    return CorrectionPlan(targets, ordinals, cohorts, act, pred, corr, final_prediction(corr, p.freeze_rows))
+
+
+def correct(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame | None = None,
+            targets: DataFrame | None = None) -> DataFrame:
+    """The 20 prediction columns for every target date."""
+    return correction_plan(spark, src, p, curves, targets).final

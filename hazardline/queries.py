@@ -52,3 +52,51 @@ def q_kaplan_meier(spark, sf_dir):
     src, p = _setup(spark, sf_dir)
     c = jobs.train(spark, src, p)
     return c.select("ship_date", "grp", "timeline", r9("survival_rate").alias("survival_rate"))
+
+
+M6 = ("predicted_con", "predicted_cor", "predicted_coa", "predicted_orders",
+      "adjusted_con", "adjusted_cor", "adjusted_coa")
+M9 = ("delta_con", "delta_cor", "delta_coa")
+
+
+def present(df: DataFrame, cols=None) -> DataFrame:
+    """Report form: timestamps as zone-less UTC wall clock, measures rounded for comparison."""
+    out = []
+    for c, t in df.dtypes:
+        if cols is not None and c not in cols:
+            continue
+        if t == "timestamp":
+            out.append(F.col(c).cast("timestamp_ntz").alias(c))
+        elif c in M6:
+            out.append(F.round(F.col(c), 6).alias(c))
+        elif c in M9 or t == "double":
+            out.append(F.round(F.col(c), 9).alias(c))
+        else:
+            out.append(F.col(c))
+    return df.select(*out)
+
+
+def _correction(spark, sf_dir, **kw):
+    src, p = _setup(spark, sf_dir, **kw)
+    return jobs.correction_plan(spark, src, p)
+
+
+@query("actuals")
+def q_actuals(spark, sf_dir):
+    return present(_correction(spark, sf_dir).actuals)
+
+
+@query("predicted")
+def q_predicted(spark, sf_dir):
+    return present(_correction(spark, sf_dir).predicted)
+
+
+@query("corrected")
+def q_corrected(spark, sf_dir):
+    c = _correction(spark, sf_dir).corrected
+    return present(c.drop("alignment_timestamp", "finalization_timestamp"))
+
+
+@query("final_prediction")
+def q_final_prediction(spark, sf_dir):
+    return present(_correction(spark, sf_dir).final)
