@@ -70,6 +70,7 @@ class CorrectionPlan:
     predicted: DataFrame
     corrected: DataFrame
     final: DataFrame
+    curves: DataFrame
 
 
 def correction_plan(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame | None = None,
@@ -88,7 +89,8 @@ def correction_plan(spark: SparkSession, src: Sources, p: RunParams, curves: Dat
     act = actuals(src, p, targets)
     pred = predicted(cohorts, curves)
     corr = corrected(pred, act)
-    return CorrectionPlan(targets, ordinals, cohorts, act, pred, corr, final_prediction(corr, p.freeze_rows))
+    return CorrectionPlan(targets, ordinals, cohorts, act, pred, corr, final_prediction(corr, p.freeze_rows),
+                          curves)
 
 
 def correct(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame | None = None,

@@ -105,3 +105,24 @@ def lifespans(facts: DataFrame, deaths: DataFrame) -> DataFrame:
         F.col("death_time").isNotNull().alias("died_bool"),
         "birth_time", "death_time", "finalization_timestamp",
     )
+
+
+def order_state_snapshot(src: Sources, as_of) -> DataFrame:
+    """Per order: the state of its latest event known at ``as_of`` (dead wins a tie).
+
+    Incremental consumers upsert these rows by order id (S14).
+    """
+    wo = (src.weekly_orders.filter(F.col("created_at") <= as_of)
+          .select(F.col("id").alias("weekly_order_id"), F.col("created_at").alias("event_time"),
+                  F.lit(True).alias("order_is_alive")))
+    dl = src.deliveries.select(F.col("id").alias("delivery_id"), "weekly_order_id")
+    logs = (src.event_logs
+            .filter((F.col("object_type") == "deliveries") & (F.col("created_at") <= as_of))
+            .filter(status_present("change_set"))
+            .select(F.col("object_id").alias("delivery_id"), F.col("created_at").alias("event_time"),
+                    alive_flag(status_new("change_set")).alias("order_is_alive")))
+    ev = wo.unionByName(logs.join(dl, "delivery_id").drop("delivery_id").join(
+        wo.select("weekly_order_id"), "weekly_order_id", "left_semi"))
+    last = ev.groupBy("weekly_order_id").agg(
+        F.max(F.struct(F.col("event_time").alias("t"), (~F.col("order_is_alive")).alias("dead"))).alias("m"))
+    return last.select("weekly_order_id", F.col("m.t").alias("state_time"), (~F.col("m.dead")).alias("order_is_alive"))
