@@ -173,24 +173,27 @@ def q_group_key_fallback(spark, sf_dir):
                        "json_extract_string(change_set, '$.status[1]') AS new_status FROM event_logs"))
 def q_json_path(spark, sf_dir):
     src, _ = setup(spark, sf_dir)
+    v = K.change_set_variant(src.event_logs)
     return present(src.event_logs.select("object_type", "object_id", "created_at",
-                                         K.status_new("change_set").alias("new_status")))
+                                         K.status_new(v).alias("new_status")))
 
 
 @query("json_present", fx("SELECT object_type, object_id, created_at, " + O.status_present("change_set")
                           + " AS has_status FROM event_logs"))
 def q_json_present(spark, sf_dir):
     src, _ = setup(spark, sf_dir)
+    v = K.change_set_variant(src.event_logs)
     return present(src.event_logs.select("object_type", "object_id", "created_at",
-                                         K.status_present("change_set").alias("has_status")))
+                                         K.status_present(v).alias("has_status")))
 
 
 @query("status_alive", fx("SELECT object_id, created_at, " + O.status_alive("change_set") + " AS order_is_alive "
                           "FROM event_logs WHERE " + O.status_present("change_set")))
 def q_status_alive(spark, sf_dir):
     src, _ = setup(spark, sf_dir)
-    e = src.event_logs.filter(K.status_present("change_set"))
-    return present(e.select("object_id", "created_at", K.alive_flag(K.status_new("change_set")).alias("order_is_alive")))
+    e = src.event_logs.select("object_id", "created_at", K.change_set_variant(src.event_logs).alias("v"))
+    e = e.filter(K.status_present("v"))
+    return present(e.select("object_id", "created_at", K.alive_flag(K.status_new("v")).alias("order_is_alive")))
 
 
 @query("conditional_iff", fx("SELECT id, CASE WHEN is_first_for_subscription THEN number_of_meals ELSE 0 END "
@@ -313,7 +316,8 @@ def q_event_log_join(spark, sf_dir):
 def q_anti_delete(spark, sf_dir):
     """J13 DELETE ... USING as a left anti join: deliveries without any status change."""
     src, p = setup(spark, sf_dir)
-    changed = (src.event_logs.filter((F.col("object_type") == "deliveries") & K.status_present("change_set"))
+    v = K.change_set_variant(src.event_logs)
+    changed = (src.event_logs.filter((F.col("object_type") == "deliveries") & K.status_present(v))
                .select(F.col("object_id").alias("id")))
     return (src.deliveries.join(changed, "id", "left_anti").groupBy("ship_date")
             .agg(F.count(F.lit(1)).alias("untouched")))

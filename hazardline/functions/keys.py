@@ -10,7 +10,7 @@ from hazardline.params import DEAD_STATUSES
 
 __all__ = [
     "group_key", "fallback_group_key", "tenure_training", "tenure_correction",
-    "status_new", "status_present", "alive_flag", "safe_ratio", "iff",
+    "status_new", "status_present", "alive_flag", "as_variant", "change_set_variant", "safe_ratio", "iff",
 ]
 
 
@@ -42,18 +42,20 @@ def tenure_correction(raw) -> Column:
     return F.when(r.isNull(), F.lit(None).cast("int")).otherwise(F.least(r, F.lit(4)))
 
 
-def _variant(change_set) -> Column:
-    return F.try_parse_json(col_(change_set))
+def as_variant(change_set, is_variant: bool = False) -> Column:
+    """The change set as VARIANT: used as is when stored as VARIANT, else parsed from JSON text."""
+    return col_(change_set) if is_variant else F.try_parse_json(col_(change_set))
 
 
-def status_new(change_set) -> Column:
-    """F18 CHANGE_SET:status[1] as text (NULL when absent or not an array)."""
-    return F.try_variant_get(_variant(change_set), "$.status[1]", "string")
 
+def status_new(v) -> Column:
+    """F18 CHANGE_SET:status[1] as text (NULL when absent or not an array); ``v`` is VARIANT."""
+    return F.try_variant_get(col_(v), "$.status[1]", "string")
 
-def status_present(change_set) -> Column:
-    """F19 CHANGE_SET:status IS NOT NULL; a JSON null still counts as present."""
-    return F.try_variant_get(_variant(change_set), "$.status", "variant").isNotNull()
+
+def status_present(v) -> Column:
+    """F19 CHANGE_SET:status IS NOT NULL; a JSON null still counts as present; ``v`` is VARIANT."""
+    return F.try_variant_get(col_(v), "$.status", "variant").isNotNull()
 
 
 def alive_flag(new_status) -> Column:
@@ -70,3 +72,8 @@ def iff(cond, a, b) -> Column:
     """P8 IFF(cond, a, b): NULL condition takes the else branch."""
     return F.when(col_(cond), col_(a) if not isinstance(a, (int, float)) else F.lit(a)).otherwise(
         col_(b) if not isinstance(b, (int, float)) else F.lit(b))
+
+
+def change_set_variant(df) -> Column:
+    """The ``change_set`` column of ``df`` as VARIANT (parsed only if stored as text)."""
+    return as_variant("change_set", dict(df.dtypes).get("change_set") == "variant")

@@ -28,13 +28,28 @@ def first_order_dates(src: Sources, p: RunParams) -> DataFrame:
             .agg(F.min("start_date").cast("date").alias("first_start_date")))
 
 
-def with_zone_times(df: DataFrame, src: Sources) -> DataFrame:
-    """Inner join to the zone map (facilities without a zone drop out) + alignment/finalization."""
-    return (df.join(src.zone_of_facility(), "facility_id")
+def zone_times(pairs: DataFrame, src: Sources) -> DataFrame:
+    """(ship_date, facility_id) -> zone, alignment and finalization instants.
+
+    Zone conversion is per-row costly, and both instants depend only on the
+    ship date and the facility's zone, so they are computed on the distinct
+    pairs (bounded by calendar x facilities) rather than on every delivery.
+    """
+    return (pairs.select("ship_date", "facility_id").distinct()
+            .join(src.zone_of_facility(), "facility_id")
             .withColumn("alignment_timestamp", alignment_ts("ship_date", "facility_timezone"))
             .withColumn("finalization_timestamp", finalization_ts("ship_date", "facility_timezone")))
 
 
+def with_zone_times(df: DataFrame, src: Sources) -> DataFrame:
+    """Inner join to the zone map (facilities without a zone drop out) + alignment/finalization.
+
+    The pair table is tiny; AQE turns this join into a broadcast once it has
+    measured it, so the large side is not shuffled.
+    """
+    return df.join(zone_times(df, src), ["ship_date", "facility_id"])
+
+
 def training_facts(src: Sources, p: RunParams, windows: DataFrame) -> DataFrame:
     """MASTER_DATASET for every (target ship date, delivery in its training window)."""
     kt = p.kt_col()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.functions.keys import alive_flag, status_new, status_present
+from hazardline.functions.keys import alive_flag, change_set_variant
 from hazardline.functions.timefn import diff_hours
 from hazardline.params import RunParams
 from hazardline.sources.tables import Sources
@@ -21,11 +21,12 @@ def status_log(src: Sources, p: RunParams) -> DataFrame:
 
     J4: the literal and semi-structured predicates filter event_logs before the join.
     """
-    return (src.event_logs
-            .filter((F.col("object_type") == "deliveries") & (F.col("created_at") <= p.kt_col()))
-            .filter(status_present("change_set"))
+    v = (src.event_logs
+         .filter((F.col("object_type") == "deliveries") & (F.col("created_at") <= p.kt_col()))
+         .select("object_id", "created_at", change_set_variant(src.event_logs).alias("v")))  # parsed once
+    return (v.filter(F.try_variant_get("v", "$.status", "variant").isNotNull())
             .select(F.col("object_id").alias("delivery_id"), F.col("created_at").alias("event_time"),
-                    alive_flag(status_new("change_set")).alias("order_is_alive")))
+                    alive_flag(F.try_variant_get("v", "$.status[1]", "string")).alias("order_is_alive")))
 
 
 def order_events(src: Sources, p: RunParams, scope: DataFrame) -> DataFrame:
@@ -118,9 +119,10 @@ def order_state_snapshot(src: Sources, as_of) -> DataFrame:
     dl = src.deliveries.select(F.col("id").alias("delivery_id"), "weekly_order_id")
     logs = (src.event_logs
             .filter((F.col("object_type") == "deliveries") & (F.col("created_at") <= as_of))
-            .filter(status_present("change_set"))
+            .select("object_id", "created_at", change_set_variant(src.event_logs).alias("v"))
+            .filter(F.try_variant_get("v", "$.status", "variant").isNotNull())
             .select(F.col("object_id").alias("delivery_id"), F.col("created_at").alias("event_time"),
-                    alive_flag(status_new("change_set")).alias("order_is_alive")))
+                    alive_flag(F.try_variant_get("v", "$.status[1]", "string")).alias("order_is_alive")))
     ev = wo.unionByName(logs.join(dl, "delivery_id").drop("delivery_id").join(
         wo.select("weekly_order_id"), "weekly_order_id", "left_semi"))
     last = ev.groupBy("weekly_order_id").agg(

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardline.functions.timefn import add_days, add_weeks, date_to_timestamp
 from hazardline.params import EVENT_HISTORY_START, FINALIZATION_DAYS, RunParams
@@ -47,8 +46,8 @@ def plan_correction_dates(src: Sources, p: RunParams) -> DataFrame:
 
 def explicit_dates(spark: SparkSession, dates) -> DataFrame:
     """Ship dates given by the request (a handful of literals)."""
-    schema = T.StructType([T.StructField("ship_date", T.StringType(), False)])
-    return spark.createDataFrame([(str(d),) for d in dates], schema).select(
+    from hazardline.sources.tables import literal_rows
+    return literal_rows(spark, [(str(d),) for d in dates], ("ship_date",)).select(
         F.col("ship_date").cast("date").alias("ship_date")).distinct()
 
 

@@ -10,7 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardline.sources.tables import Sources, timezones_frame
+import os
+
+from hazardline.session import scratch_path
+from hazardline.sources.tables import TABLES, Sources, timezones_frame
 
 # Fixed values of the fixture recipe (FIXTURES.md section 2):
 FIRST_SHIP_DATE = "2019-06-03"
@@ -46,7 +49,33 @@ def _base(orders: DataFrame) -> DataFrame:
     )
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str, staged: bool = True) -> Sources:
+    """The fixture views; by default staged once per (application, sf_dir) as parquet
+    tables in the shared checkpoint folder, then read like production tables.  ``staged=False`` gives the lazy views."""
+    views = derived_views(spark, sf_dir)
+    if not staged:
+        return views
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    base = _STAGED.get(key)
+    if base is None:
+        base = scratch_path(spark, "fixture-tables")
+        n = spark.sparkContext.defaultParallelism
+        for name in TABLES:
+            df = getattr(views, name)
+            if name == "event_logs":
+                # the operational column is semi-structured (VARIANT): parse the text once here
+                df = df.withColumn("change_set", F.try_parse_json("change_set"))
+            df.repartition(n).write.mode("overwrite").parquet(f"{base}/{name}")
+        _STAGED[key] = base
+    src = Sources.from_parquet(spark, base)
+    src.sync_tables = views.sync_tables
+    return src
+
+
+def derived_views(spark: SparkSession, sf_dir: str) -> Sources:
     orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
     base = _base(orders)
     k = F.col("k")

@@ -11,20 +11,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from hazardline.params import FACILITY_ZONES
 
 TABLES = ("weekly_orders", "deliveries", "event_logs", "plans", "freights", "facilities")
 
 
+def literal_rows(spark: SparkSession, rows, names) -> DataFrame:
+    """A literal relation evaluated in the JVM (no Python-backed RDD behind it)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def timezones_frame(spark: SparkSession, zones=FACILITY_ZONES) -> DataFrame:
     """S5 inline facility -> zone relation (3 literal rows; broadcast-safe by construction)."""
-    schema = T.StructType([
-        T.StructField("facility_id", T.IntegerType(), False),
-        T.StructField("facility_timezone", T.StringType(), False),
-    ])
-    return spark.createDataFrame(list(zones), schema)
+    return literal_rows(spark, zones, ("facility_id", "facility_timezone")).select(
+        F.col("facility_id").cast("int"), F.col("facility_timezone").cast("string"))
 
 
 @dataclass
