@@ -109,8 +109,10 @@ def actuals_bruteforce(src: Sources, p: RunParams, targets: DataFrame) -> DataFr
     """
     ev = correction_events(src, p, targets).distinct()
     lo, hi = grid_bounds(p)
-    grid = targets.select("ship_date", F.explode(hour_seq(lo, hi)).alias("checkpoint"))
-    j = ev.join(grid, (ev.ship_date == grid.ship_date) & (ev.event_time <= grid.checkpoint)).drop(grid.ship_date)
+    grid = targets.select("ship_date", F.explode(hour_seq(lo, hi)).alias("checkpoint")).withColumnRenamed(
+        "ship_date", "g_date")
+    j = ev.join(grid, (F.col("ship_date") == F.col("g_date")) & (F.col("event_time") <= F.col("checkpoint")))
+    j = j.drop("g_date")
     w = Window.partitionBy("ship_date", "checkpoint", "weekly_order_id").orderBy(
         F.col("event_time").desc(), F.col("order_is_alive").asc())
     r = j.withColumn("recency", F.row_number().over(w)).filter((F.col("recency") == 1) & F.col("order_is_alive"))
