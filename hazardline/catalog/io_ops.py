@@ -77,24 +77,19 @@ def q_parquet_export(spark, sf_dir):
 def q_job_train(spark, sf_dir):
     """D15 training job end to end: plan -> curves -> gate -> stored per ship date."""
     src, p = setup(spark, sf_dir)
-    curves = jobs.quality_gate(jobs.train(spark, src, p), "curve set")
-    path = scratch_path(spark, "job_train")
-    sinks.replace_partitions(sinks.survival_rows(curves), path)
-    return _curves_readback(spark.read.parquet(path))
+    return _curves_readback(jobs.run_training_job(spark, src, p, scratch_path(spark, "job_train")))
 
 
 @query("job_correct", FINAL_SQL)
 def q_job_correct(spark, sf_dir):
     """D15 correction job end to end: curves read from the stored survival table."""
     src, p = setup(spark, sf_dir)
-    targets = jobs.target_dates(spark, src, p, "correct")
     curve_path = scratch_path(spark, "job_curves")
+    # training for the correction's planned dates, then the correction reading the stored curves
+    targets = jobs.target_dates(spark, src, p, "correct")
     sinks.replace_partitions(sinks.survival_rows(jobs.train(spark, src, p, targets)), curve_path)
-    stored = spark.read.parquet(curve_path).withColumn("survival_rate", F.col("survival_rate").cast("double"))
-    final = jobs.correct(spark, src, p, curves=stored, targets=targets)
-    path = scratch_path(spark, "job_predictions")
-    sinks.replace_partitions(sinks.prediction_rows(final), path)
-    return present(_decimals_to_double(spark.read.parquet(path)).select(*O.FINAL_COLUMNS))
+    out = jobs.run_correction_job(spark, src, p, curve_path, scratch_path(spark, "job_predictions"))
+    return present(_decimals_to_double(out).select(*O.FINAL_COLUMNS))
 
 
 @query("csv_write", O.training_sql(

@@ -97,3 +97,51 @@ def correct(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame |
             targets: DataFrame | None = None) -> DataFrame:
     """The 20 prediction columns for every target date."""
     return correction_plan(spark, src, p, curves, targets).final
+
+
+def run_training_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str) -> DataFrame:
+    """D15 weekly training end to end: plan -> curves -> gates -> replace each ship date's curves.
+
+    Writing the curve table is also where lineage is cut: the correction job reads
+    the stored table, not this plan.  Returns the stored table.
+    """
+    from hazardline.sources import sinks
+    plan = training_plan(spark, src, p)
+    quality_gate(plan.training, "training set")
+    sinks.replace_partitions(sinks.survival_rows(quality_gate(plan.curves, "curve set")), survival_path)
+    return spark.read.parquet(survival_path)
+
+
+def stored_curves(spark: SparkSession, survival_path: str) -> DataFrame:
+    """Curves as the correction reads them back from the survival table (rates in double)."""
+    return (spark.read.parquet(survival_path)
+            .select("ship_date", "grp", "timeline", F.col("survival_rate").cast("double").alias("survival_rate")))
+
+
+def run_correction_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str,
+                       prediction_path: str) -> DataFrame:
+    """D15 hourly correction end to end: KT defaults to the last complete synced hour (S8/S9),
+    the curves come from the survival table, each ship date's predictions are replaced."""
+    from hazardline.sources import sinks
+    if p.knowledge_time is None and src.sync_tables:
+        p = p.with_(knowledge_time=last_complete_hour(src))
+    final = correct(spark, src, p, curves=stored_curves(spark, survival_path))
+    sinks.replace_partitions(sinks.prediction_rows(final), prediction_path)
+    return spark.read.parquet(prediction_path)
+
+
+def latest_sync_time(src: Sources):
+    """Newest sync time over the synced tables (each side aggregates before the union);
+    one row comes back to the driver."""
+    from functools import reduce
+    parts = [t.agg(F.max("_synced").alias("synced")) for t in src.sync_tables]
+    return reduce(lambda a, b: a.unionByName(b), parts).agg(F.max("synced").alias("m")).first()["m"]
+
+
+def last_complete_hour(src: Sources) -> str:
+    """Assume any data from an hour means the previous hour is complete -> floor to the hour."""
+    import datetime as dt
+    t = latest_sync_time(src)
+    if t.tzinfo is None:
+        t = t.replace(tzinfo=dt.timezone.utc)
+    return t.replace(minute=0, second=0, microsecond=0).isoformat()
