@@ -27,15 +27,17 @@ def kaplan_meier(training: DataFrame, min_records: int = MIN_RECORDS, horizon: i
            .agg(F.sum(F.when(F.col("died_bool"), F.col("weight")).otherwise(0)).alias("d"),
                 F.sum("weight").alias("m"),
                 F.count(F.lit(1)).alias("recs")))
-    whole = Window.partitionBy(*keys)
-    pts = pts.withColumn("records", F.sum("recs").over(whole)).filter(F.col("records") >= min_records)  # P12
-    down = Window.partitionBy(*keys).orderBy(F.col("t").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    # One ordering (t ascending) for every window: the group's record count (whole frame),
+    # the at-risk weight n_t = sum_{s>=t} m_s (current row to the end), the next point,
+    # then the running product -- one shuffle, one sort.
     up = Window.partitionBy(*keys).orderBy("t")
-    upr = up.rowsBetween(Window.unboundedPreceding, 0)
-    x = (pts.withColumn("n", F.sum("m").over(down))
-         .withColumn("s", F.product(F.lit(1.0) - F.col("d") / F.col("n")).over(upr))
-         .withColumn("nxt", F.lead("t").over(up))
-         .withColumn("first", F.row_number().over(up) == 1))
+    whole = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rest = up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    run = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = (pts.select("*", F.sum("recs").over(whole).alias("records"), F.sum("m").over(rest).alias("n"),
+                    F.lead("t").over(up).alias("nxt"), (F.row_number().over(up) == 1).alias("first"))
+         .filter(F.col("records") >= min_records)  # P12: whole groups kept or dropped
+         .withColumn("s", F.product(F.lit(1.0) - F.col("d") / F.col("n")).over(run)))
     last = F.lit(horizon - 1)
     segs = F.array(
         # points before the first observed lifespan: S = 1
