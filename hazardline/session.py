@@ -35,6 +35,34 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(scoped_input_bytes: int, total_cores: int,
+                   partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Runtime SQL settings sized for a cluster run.
+
+    ``scoped_input_bytes`` is the size of what the request reads after its
+    knowledge-time and date filters (deliveries + status rows of the windows),
+    not the whole lake.  Initial shuffle partitions aim at ~256 MB each (at
+    least 2 per core); AQE then coalesces small ones and splits skewed ones.
+    """
+    parts = max(2 * total_cores, -(-scoped_input_bytes // partition_bytes))
+    return {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.shuffle.partitions": str(min(parts, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(2 * partition_bytes),
+        # AQE broadcasts a join side only after measuring it below this size
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def ensure_utc(spark: SparkSession) -> None:
     """Force the settings every operator relies on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -72,4 +100,5 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "os"]
+__all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "scale_settings",
+           "apply_settings", "os"]
