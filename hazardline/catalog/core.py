@@ -10,26 +10,26 @@ from hazardline.catalog.registry import correction, present, query, setup, train
 
 
 @query("training_set", O.training_sql(
-    "SELECT target AS ship_date, lifespan, died_bool, grp, CAST(weight AS BIGINT) AS weight FROM training"))
+    "SELECT target AS ship_date, lifespan, died_bool, grp, CAST(weight AS BIGINT) AS weight FROM tw_rows"))
 def q_training_set(spark, sf_dir):
     return training(spark, sf_dir)[2].training
 
 
 @query("kaplan_meier", O.training_sql(
-    "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM curves"))
+    "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM km_curve"))
 def q_kaplan_meier(spark, sf_dir):
     return present(training(spark, sf_dir)[2].curves)
 
 
 @query("actuals", O.correction_sql(
-    "SELECT ship_date, checkpoint, facility_id, freight_id, con, cor, coa, orders FROM actuals"))
+    "SELECT ship_date, checkpoint, facility_id, freight_id, con, cor, coa, orders FROM cr_actuals"))
 def q_actuals(spark, sf_dir):
     return present(correction(spark, sf_dir)[2].actuals)
 
 
 @query("predicted", O.correction_sql(
     "SELECT ship_date, checkpoint, facility_id, freight_id, alignment_timestamp, finalization_timestamp, "
-    + O.rounded(("predicted_con", "predicted_cor", "predicted_coa", "predicted_orders")) + " FROM predicted"))
+    + O.rounded(("predicted_con", "predicted_cor", "predicted_coa", "predicted_orders")) + " FROM cr_predicted"))
 def q_predicted(spark, sf_dir):
     return present(correction(spark, sf_dir)[2].predicted)
 
@@ -37,21 +37,21 @@ def q_predicted(spark, sf_dir):
 @query("corrected", O.correction_sql(
     "SELECT ship_date, checkpoint, facility_id, freight_id, con, cor, coa, orders, "
     + O.rounded(("predicted_con", "predicted_cor", "predicted_coa", "predicted_orders", "delta_con",
-                 "adjusted_con", "delta_cor", "adjusted_cor", "delta_coa", "adjusted_coa")) + " FROM corrected"))
+                 "adjusted_con", "delta_cor", "adjusted_cor", "delta_coa", "adjusted_coa")) + " FROM cr_corrected"))
 def q_corrected(spark, sf_dir):
     c = correction(spark, sf_dir)[2].corrected
     return present(c.drop("alignment_timestamp", "finalization_timestamp"))
 
 
-@query("final_prediction", O.correction_sql("SELECT " + O.rounded(O.FINAL_COLUMNS) + " FROM final"))
+@query("final_prediction", O.correction_sql("SELECT " + O.rounded(O.FINAL_COLUMNS) + " FROM cr_final"))
 def q_final_prediction(spark, sf_dir):
     return present(correction(spark, sf_dir)[2].final)
 
 
 # Back-test with explicit ship dates = every ship date present in the data.
 @query("backtest", O.training_sql(
-    "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM curves",
-    targets_cte="train_targets AS (SELECT DISTINCT ship_date AS target FROM deliveries)"))
+    "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM km_curve",
+    targets_cte="tw_targets AS (SELECT DISTINCT ship_date AS target FROM deliveries)"))
 def q_backtest(spark, sf_dir):
     src, p = setup(spark, sf_dir)
     targets = src.deliveries.select("ship_date").distinct()
@@ -62,7 +62,7 @@ def q_backtest(spark, sf_dir):
     SELECT target AS ship_date, CAST(count(*) AS BIGINT) AS groups,
            CAST(sum(CASE WHEN records >= 100 THEN 1 ELSE 0 END) AS BIGINT) AS kept,
            CAST(sum(CASE WHEN records < 100 THEN 1 ELSE 0 END) AS BIGINT) AS excluded
-    FROM (SELECT target, grp, count(*) AS records FROM training WHERE grp IS NOT NULL GROUP BY 1, 2) g
+    FROM (SELECT target, grp, count(*) AS records FROM tw_rows WHERE grp IS NOT NULL GROUP BY 1, 2) g
     GROUP BY 1"""))
 def q_group_quality_counts(spark, sf_dir):
     from hazardline.operators.training import group_quality_counts

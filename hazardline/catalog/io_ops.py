@@ -17,8 +17,8 @@ from hazardline.session import scratch_path
 from hazardline.sources import sinks
 
 KM_SQL = O.training_sql(
-    "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM curves")
-FINAL_SQL = O.correction_sql("SELECT " + O.rounded(O.FINAL_COLUMNS) + " FROM final")
+    "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM km_curve")
+FINAL_SQL = O.correction_sql("SELECT " + O.rounded(O.FINAL_COLUMNS) + " FROM cr_final")
 
 
 def _curves_readback(df):
@@ -45,7 +45,7 @@ def q_create_sink(spark, sf_dir):
 
 @query("decimal_store", O.training_sql(
     "SELECT target AS ship_date, grp, timeline, "
-    "CAST(round(CAST(survival_rate AS DECIMAL(17,15)), 9) AS DOUBLE) AS survival_rate FROM curves"))
+    "CAST(round(CAST(survival_rate AS DECIMAL(17,15)), 9) AS DOUBLE) AS survival_rate FROM km_curve"))
 def q_decimal_store(spark, sf_dir):
     """rates rounded into DECIMAL(17,15) as stored."""
     c = sinks.survival_rows(training(spark, sf_dir)[2].curves)
@@ -93,7 +93,7 @@ def q_job_correct(spark, sf_dir):
 
 
 @query("csv_write", O.training_sql(
-    "SELECT target AS ship_date, lifespan, died_bool, grp, CAST(weight AS BIGINT) AS weight FROM training"))
+    "SELECT target AS ship_date, lifespan, died_bool, grp, CAST(weight AS BIGINT) AS weight FROM tw_rows"))
 def q_csv_write(spark, sf_dir):
     """The training set as CSV with a header (NULL group keys as empty fields), read back."""
     t = training(spark, sf_dir)[2].training

@@ -396,7 +396,7 @@ def q_param_binding(spark, sf_dir):
 
 
 @query("sql_query_frame", with_fixtures(P, O.CORR_TARGETS, body=
-       "SELECT CAST(target AS VARCHAR) AS ship_date FROM corr_targets"))
+       "SELECT CAST(target AS VARCHAR) AS ship_date FROM cr_targets"))
 def q_sql_query_frame(spark, sf_dir):
     """A SQL query over DataFrames -> DataFrame (the correction plan in SQL form)."""
     src, p = setup(spark, sf_dir)
@@ -412,14 +412,14 @@ def q_cte_pipeline(spark, sf_dir):
     """Named subqueries (WITH) in Spark SQL over DataFrame arguments."""
     src, p = setup(spark, sf_dir)
     return spark.sql("""
-        WITH first_orders AS (
+        WITH tw_first AS (
             SELECT subscription_id, CAST(min(start_date) AS DATE) AS first_start_date
             FROM {wo} WHERE created_at <= CAST(:kt AS TIMESTAMP) GROUP BY subscription_id),
         master AS (
             SELECT d.id AS delivery_id,
                    1 + CAST(datediff(CAST(date_trunc('week', wo.start_date) AS DATE),
                                      CAST(date_trunc('week', f.first_start_date) AS DATE)) / 7 AS INT) AS user_tenure
-            FROM first_orders f JOIN {wo} wo ON f.subscription_id = wo.subscription_id
+            FROM tw_first f JOIN {wo} wo ON f.subscription_id = wo.subscription_id
             JOIN {d} d ON d.weekly_order_id = wo.id)
         SELECT delivery_id, CAST(IF(user_tenure <= 3, user_tenure, 4) AS BIGINT) AS tenure FROM master""",
                      args={"kt": p.kt.strftime("%Y-%m-%d %H:%M:%S+00:00")}, wo=src.weekly_orders, d=src.deliveries)
