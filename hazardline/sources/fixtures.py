@@ -60,6 +60,8 @@ def fixture_sources(spark: SparkSession, sf_dir: str, staged: bool = True) -> So
         return views
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     base = _STAGED.get(key)
+    if base is not None and not _exists(spark, f"{base}/{TABLES[-1]}/_SUCCESS"):
+        base = None  # the shared folder was cleaned: stage again
     if base is None:
         base = scratch_path(spark, "fixture-tables")
         n = spark.sparkContext.defaultParallelism
@@ -75,6 +77,13 @@ def fixture_sources(spark: SparkSession, sf_dir: str, staged: bool = True) -> So
     return src
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (works for any shared store)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def derived_views(spark: SparkSession, sf_dir: str) -> Sources:
     orders = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
     base = _base(orders)
