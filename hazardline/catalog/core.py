@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from hazardline import jobs
 from hazardline import oracle as O
 from hazardline.catalog.registry import correction, present, query, setup, training
@@ -77,5 +75,3 @@ def q_quality_gate(spark, sf_dir):
     jobs.quality_gate(t.training, "training set")
     return present(jobs.quality_gate(t.curves, "curve set"))
 
-
-__all__ = ["F"]

@@ -13,7 +13,6 @@ from hazardline.functions import timefn as T
 from hazardline.operators.facts import first_order_dates, known_or_null, with_zone_times
 from hazardline.operators.lifecycle import status_log
 from hazardline.oracle_fixtures import with_fixtures
-from hazardline.params import instant_lit
 
 P = O.params_cte()
 
@@ -424,5 +423,3 @@ def q_cte_pipeline(spark, sf_dir):
         SELECT delivery_id, CAST(IF(user_tenure <= 3, user_tenure, 4) AS BIGINT) AS tenure FROM master""",
                      args={"kt": p.kt.strftime("%Y-%m-%d %H:%M:%S+00:00")}, wo=src.weekly_orders, d=src.deliveries)
 
-
-__all__ = ["instant_lit"]

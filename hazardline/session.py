@@ -7,7 +7,6 @@ plans.  Nothing here keeps global state.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -101,4 +100,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "scale_settings",
-           "apply_settings", "os"]
+           "apply_settings"]

@@ -5,7 +5,7 @@ import datetime as dt
 from hazardline import jobs
 from hazardline.operators.lifecycle import death_times
 from hazardline.params import RunParams
-from tests.handmade import d, skip, sources, ts, unskip
+from tests.handmade import d, skip, sources, ts
 
 EV = "ship_date string, weekly_order_id long, event_time timestamp, order_is_alive boolean"
 

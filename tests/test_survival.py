@@ -1,7 +1,6 @@
 """Kaplan-Meier: textbook case (product-limit formula) and invariants."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from hazardline.operators.survival import curves_unpivot, curves_wide, kaplan_meier
 
