@@ -53,15 +53,19 @@ def union_distinct_events(events: DataFrame) -> DataFrame:
     return events.distinct()
 
 
-def finalization_cut(src: Sources, p: RunParams) -> DataFrame:
+def finalization_cut(src: Sources, p: RunParams, orders: DataFrame | None = None) -> DataFrame:
     """Per order: latest finalization over its deliveries known at KT in a zoned facility.
 
     An event is kept when ANY delivery's own cut keeps it (SURVEY Q9), i.e. when
-    it is earlier than the latest cut.
+    it is earlier than the latest cut.  ``orders`` (any frame with
+    ``weekly_order_id``) restricts the work to the orders in scope; each of them
+    still sees all of its deliveries, whatever their ship date.
     """
     from hazardline.operators.facts import with_zone_times
     dl = (src.deliveries.filter(F.col("created_at") <= p.kt_col())
           .select("weekly_order_id", "ship_date", "facility_id"))
+    if orders is not None:
+        dl = dl.join(orders.select("weekly_order_id"), "weekly_order_id", "left_semi")
     return (with_zone_times(dl, src).groupBy("weekly_order_id")
             .agg(F.max("finalization_timestamp").alias("cut")))
 
@@ -92,7 +96,8 @@ def training_death_times(src: Sources, p: RunParams, windows: DataFrame) -> Data
           .select(F.col("id").alias("delivery_id"), "weekly_order_id", F.col("ship_date").alias("source_date")))
     scope = dl.join(windows, "source_date").select("ship_date", "delivery_id", "weekly_order_id")
     ev = order_events(src, p, scope)
-    kept = ev.join(finalization_cut(src, p), "weekly_order_id").filter(F.col("event_time") < F.col("cut"))
+    cut = finalization_cut(src, p, scope)
+    kept = ev.join(cut, "weekly_order_id").filter(F.col("event_time") < F.col("cut"))
     return death_times(kept)
 
 
