@@ -85,3 +85,21 @@ def test_ratio_zero_prediction_and_freeze(spark):
     assert out[h(73)].adjusted_con is None
     # COR: no prediction -> adjusted stays the (NULL) actual after actuals stop
     assert out[h(10)].adjusted_cor is None
+
+
+def test_strict_knowledge_time_option(spark):
+    """Q6: by default the correction's cohorts include orders created after KT (as the
+    reference does); strict_knowledge_time drops them."""
+    from hazardline.operators.facts import delivery_ordinals
+    orders = [(1, 10, 10, "O", d("2019-07-15"), ts("2019-07-10 10:30")),
+              (2, 20, 20, "O", d("2019-07-15"), ts("2019-07-17 08:00"))]   # created after KT
+    dels = [(101, 1, d("2019-07-19"), 2, 1, 1, 6, True, ts("2019-07-10 10:30")),
+            (102, 2, d("2019-07-19"), 2, 1, 1, 4, True, ts("2019-07-17 08:00"))]
+    orders.append((3, 20, 20, "O", d("2019-07-08"), ts("2019-07-01 08:00")))  # makes sub 20 known at KT
+    dels.append((103, 3, d("2019-07-12"), 2, 1, 1, 4, True, ts("2019-07-01 08:00")))
+    src = sources(spark, orders, dels, [])
+    t = explicit_dates(spark, ["2019-07-19"])
+    loose = RunParams(knowledge_time="2019-07-16T00:00:00+00:00")
+    assert {r.weekly_order_id for r in delivery_ordinals(src, loose, t).collect()} == {1, 2}
+    strict = loose.with_(strict_knowledge_time=True)
+    assert {r.weekly_order_id for r in delivery_ordinals(src, strict, t).collect()} == {1}
