@@ -12,6 +12,7 @@ replaces just those prediction partitions.  The batch logic is the same
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hazardline import jobs
 from hazardline.params import RunParams
 from hazardline.plans.dates import plan_correction_dates
-from hazardline.session import scratch_path
+from hazardline.session import shared_dir
 from hazardline.sources import sinks
 from hazardline.sources.tables import Sources
 
@@ -64,7 +65,10 @@ def hourly_correction_stream(spark: SparkSession, src: Sources, changes_path: st
         final = jobs.correct(spark, src, p, curves=jobs.stored_curves(spark, survival_path), targets=targets)
         sinks.replace_partitions(sinks.prediction_rows(final), prediction_path)
 
-    w = (stream.writeStream.foreachBatch(run)
-         .option("checkpointLocation", checkpoint_location or scratch_path(spark, "hourly-stream-ckpt")))
+    if checkpoint_location is None:
+        # stable per output table, so a restarted driver resumes from the same offsets
+        digest = hashlib.sha1(prediction_path.encode()).hexdigest()[:16]
+        checkpoint_location = f"{shared_dir(spark).rstrip('/')}/hazardline/hourly-stream-ckpt/{digest}"
+    w = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
