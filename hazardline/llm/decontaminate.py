@@ -101,9 +101,10 @@ class Items:
         last = np.minimum(last, max(0, len(diag) - 1))
         ok &= (group[last] == group) & (diag[last] - diag <= 2 * self.edits[item]) if len(diag) else ok
         text, item, diag = text[ok], item[ok], diag[ok]
-        # one window per text, item and stretch of diagonals
+        # one window per text, item and stretch of so many diagonals
+        stretch = diag // np.maximum(1, self.edits[item] // 2)
         new = np.ones(len(diag), bool)
-        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (diag[1:] - diag[:-1] > np.maximum(1, self.edits[item[1:]] // 2))
+        new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (stretch[1:] != stretch[:-1])
         return text[new], item[new], diag[new]
 
 
