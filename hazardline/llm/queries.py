@@ -71,3 +71,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hazardline.llm.decontaminate import decontaminate
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _op5_sql() -> str:
+    from hazardline.llm.license_scan import oracle
+    return oracle()
+
+
+@query("op5_license_scan", _op5_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hazardline.llm.license_scan import license_scan
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hazardline.llm.pii import pii_spans
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hazardline.llm.language import page_language, text_model
+    return page_language(table(spark, sf_dir, "pages"), *text_model(table(spark, sf_dir, "documents")))
