@@ -125,6 +125,8 @@ def _names(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 def _runs(b: pa.RecordBatch, which: np.ndarray, k: np.ndarray, again: np.ndarray, length: int) -> pa.RecordBatch:
     """Runs of repeated starts as (row, from, to)."""
     which, k = which[again], k[again]
+    if not len(which):
+        return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, names=["row", "lo", "hi"])
     new = np.ones(len(which), bool)
     new[1:] = (which[1:] != which[:-1]) | (k[1:] != k[:-1] + 1)
     first = np.flatnonzero(new)
