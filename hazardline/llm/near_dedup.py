@@ -4,12 +4,14 @@
    remaining value is stored compressed: its number of leading zeros and the ``MANTISSA`` bits after them.
 2. Texts with the same set are one class; only its representative goes on.
 3. Banding: 51 bands of 5 compressed registers (empty ones borrow a fixed other bucket's register).
-4. In each band bucket members are compared with a pivot, not with each other; those that ended in the pivot's
-   component need no more.  Buckets that still hold several components get more pivots in each round until no
-   pair of different components is left uncompared, so no link that banding finds is lost, and a bucket of n
-   near copies costs about n comparisons.
-5. A pair is dropped on its collision-corrected Jaccard estimate only if that is six standard errors below the
-   threshold; the others are verified on their full shingle sets.
+4. Probing: in some bands at a time, bucket members are compared with one pivot of their bucket, not with each
+   other; a pair is dropped on its collision-corrected Jaccard estimate only if that is ``SIGMAS`` standard errors
+   below the threshold, the others are verified on their full shingle sets.  This joins most of a group of near
+   copies for a few comparisons per member.
+5. Settling: buckets of all bands that still hold several components are compared in full, so no link that banding
+   finds is lost: buckets of up to ``SMALL`` members pair by pair as in 4, larger ones as pairs of blocks of about
+   ``BLOCK`` members.  A block pair is one task's work of bounded size, whatever the size of the bucket, and gives
+   exact intersections by a matrix product over the shared shingles.  Only pairs of different components count.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ from hazardline.llm.textnp import blocks, mix, shingles, utf8, word_hashes
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
 BANDS, ROWS = 51, 5
+PROBES = ((0, 6), (6, 14))   # bands of each probing round
+SIGMAS = 4.5
+SMALL, BLOCK = 3, 256
 _TAKE = np.random.RandomState(7).randint(0, BUCKETS, (24, BUCKETS))  # where an empty bucket borrows from
 
 
@@ -113,27 +118,90 @@ def _sketch(k: int):
     return run
 
 
+def _estimate(num: int, den: int):
+    """Pairs whose estimate is not clearly below the threshold."""
+    def run(batches):
+        for b in batches:
+            reg = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("sketch", "pivot_sketch")]
+            j, err = jaccard_estimate(*reg, b.column("n").to_numpy(), b.column("pivot_n").to_numpy())
+            go = pa.array(np.flatnonzero(j + SIGMAS * err >= num / den))
+            yield pa.RecordBatch.from_arrays([b.column("pivot").take(go), b.column("id").take(go)], names=["pivot", "id"])
+    return run
+
+
 def _verify(k: int, num: int, den: int):
+    """Links among pairs with both texts, on the full sets."""
     def run(batches):
         known: tuple = (None, None)
         for b in batches:
-            n, m = b.column("n").to_numpy(), b.column("pivot_n").to_numpy()
-            reg = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("sketch", "pivot_sketch")]
-            j, err = jaccard_estimate(*reg, n, m)
-            go = np.flatnonzero(j + 6 * err >= num / den)
             link = np.zeros(b.num_rows, bool)
             ids, pivots = b.column("pivot").to_pylist(), b.column("pivot_text")
-            texts = b.column("text").take(pa.array(go))
-            for i, s in zip(go.tolist(), shingle_sets(texts, k)):
+            for i, s in enumerate(shingle_sets(b.column("text"), k)):
                 if known[0] != ids[i]:
                     known = (ids[i], next(shingle_sets(pivots.slice(i, 1), k)))
                 p = known[1]
                 both = len(np.intersect1d(s, p, assume_unique=True))
                 link[i] = den * both >= num * (len(s) + len(p) - both)
-            yield pa.RecordBatch.from_arrays([b.column("pivot"), b.column("id"), pa.array(link)], names=["a", "b", "link"])
+            go = pa.array(np.flatnonzero(link))
+            yield pa.RecordBatch.from_arrays([b.column("pivot").take(go), b.column("id").take(go)], names=["a", "b"])
     return run
 
 
+def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, comp: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of different components between the rows ``left`` and ``right`` of some sets."""
+    size = np.array([len(x) for x in sets], np.int64)
+    u, at = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), size)
+    keep = np.bincount(at)[at] > 1                        # a shingle of one set is in no intersection
+    at, row = np.unique(at[keep], return_inverse=True)[1], row[keep]
+    both = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(at, kind="stable")
+    at, row = at[order], row[order]
+    width = 8192
+    for lo in range(0, int(at[-1]) + 1 if len(at) else 0, width):
+        x, y = np.searchsorted(at, [lo, lo + width])
+        m = np.zeros((len(sets), width), np.float32)
+        m[row[x:y], at[x:y] - lo] = 1
+        both += m[left] @ m[right].T
+    i = both.astype(np.int64)
+    total = size[left][:, None] + size[right][None, :] - i
+    return np.nonzero((den * i >= num * total) & (comp[left][:, None] != comp[right][None, :]))
+
+
+def _settle(k: int, num: int, den: int):
+    """Rows (key, i, j, own, id, c, text) sorted by (key, i, j): links between blocks i and j of a bucket."""
+    def settle(t: pa.Table):
+        own, i, j = (t.column(c).to_numpy() for c in ("own", "i", "j"))
+        left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
+        if not len(left) or not len(right):
+            return None
+        comp, ids = t.column("c").to_numpy(), t.column("id").to_numpy()
+        if (comp == comp[0]).all():
+            return None
+        a, b = block_links(list(shingle_sets(t.column("text"), k)), left, right, comp, num, den)
+        a, b = ids[left[a]], ids[right[b]]
+        return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            g = np.stack([t.column(c).to_numpy() for c in ("key", "i", "j")], 1)
+            cut = np.concatenate([[0], np.flatnonzero((g[1:] != g[:-1]).any(1)) + 1])
+            for x, y in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                yield settle(t.slice(x, y - x))
+            held = t.slice(int(cut[-1]))
+        if held is not None and held.num_rows:
+            yield settle(held)
+
+    def out(batches):
+        for r in run(batches):
+            if r is not None and len(r):
+                yield pa.RecordBatch.from_arrays([pa.array(r[:, 0]), pa.array(r[:, 1])], names=["a", "b"])
+    return out
+
+
 def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable over links), kept.
@@ -143,7 +211,6 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     empty set and is linked with nothing.  A row with a null id cannot be named by a link: its component is null
     and it is kept.  Rows repeated with one id and text get the same answer.
     """
-    spark = docs.sparkSession
     d = docs_of(docs, id_col, text_col)
     sk = stage(d.mapInArrow(_sketch(k), "doc_id long, n long, set_hash binary, sketch binary, bands array<long>"), "sketches")
     named = sk.where("n > 0 AND doc_id IS NOT NULL")
@@ -152,52 +219,37 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
         .dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "sketch", "bands")
     banded = stage(reps, "class-sketches")
 
-    rows = banded.select("id", "n", F.explode("bands").alias("key"))
+    rows = banded.select("id", "n", F.posexplode("bands").alias("band", "key"))
     buckets = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), "buckets")
     members = stage(join_counted(rows, buckets, "key", [], "cnt", F.col("id")), "members")
-    seen = links = None
-    comp, pivots_per_bucket = None, 1
-    while True:
-        here = members
-        if comp is not None:
-            here = here.join(comp.withColumnRenamed("component", "c"), "id", "left") \
-                .select("key", "id", "n", F.coalesce("c", "id").alias("c"))
-        else:
-            here = here.withColumn("c", F.col("id"))
-        here = stage(here, "with-components")
-        open_ = here.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("c").alias("c0"), F.max("c").alias("c1")) \
-            .where("c0 <> c1")
-        slots = F.pmod(F.xxhash64("id", F.lit(pivots_per_bucket)), F.lit(pivots_per_bucket))
-        open_ = stage(open_, "open-buckets")
-        if open_.limit(1).count() == 0:
-            break
-        here = stage(join_counted(here, open_.select("key", "cnt"), "key", [], "cnt", F.col("id")), "open-members")
-        pivots = here.groupBy("key", slots.alias("slot")).agg(F.min(F.struct("id", "n", "c")).alias("p"))
-        pivots = stage(pivots.select("key", "p.*").withColumnsRenamed({"id": "pivot", "n": "pivot_n", "c": "pivot_c"}), "pivots")
-        # every pivot of a bucket meets the bucket's members outside its component; per key there are
-        # `pivots_per_bucket` pivots at most, so hot keys are split over their members
-        grouped = open_.select("key", "cnt").join(
-            pivots.groupBy("key").agg(F.collect_list(F.struct("pivot", "pivot_n", "pivot_c")).alias("ps")), "key")
-        pairs = join_counted(here, stage(grouped, "pivot-lists"), "key", ["ps"], "cnt", F.col("id")) \
-            .select("id", "n", "c", F.explode("ps").alias("p")).select("id", "n", "c", "p.*") \
-            .where((F.col("c") != F.col("pivot_c")) & (F.lit(den) * F.least("n", "pivot_n") >= F.lit(num) * F.greatest("n", "pivot_n"))) \
-            .select(F.least("id", "pivot").alias("pivot"), F.greatest("id", "pivot").alias("id")).distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["pivot", "id"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(_verified(spark, pairs, d, banded, k, num, den), "verified")
-        seen = pairs if seen is None else stage(seen.unionByName(pairs), "seen")
-        new = found.where("link").select("a", "b")
-        links = stage(new if links is None else links.union(new), "links")
+    links = comp = None
+    for i, (lo, hi) in enumerate(PROBES):
+        here, open_ = _open_buckets(members.where((F.col("band") >= lo) & (F.col("band") < hi)), comp)
+        pivots = stage(here.groupBy("key").agg(F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(i))).alias("p"),
+                                               F.count(F.lit(1)).alias("cnt")), "pivots")
+        pairs = _pairs(join_counted(here, pivots, "key", ["p"], "cnt", F.col("id")), num, den)
+        found = _verified(pairs, d, banded, k, num, den)
+        links = stage(found if links is None else links.union(found), "links")
         comp = stage(components(links), "components")
-        # a pivot has met everything in its bucket and leaves it
-        members = stage(here.select("key", "id", "n").join(
-            pivots.select("key", F.col("pivot").alias("id")), ["key", "id"], "left_anti"), "rest")
-        pivots_per_bucket *= 4
-
-    of_class = classes if comp is None else classes.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    of_class = of_class.select("set_hash", "copies", (F.coalesce("component", "rep") if comp is not None else F.col("rep"))
-                               .alias("component"))
+
+    here, open_ = _open_buckets(members, comp)
+    few = here.where(F.col("cnt") <= SMALL)
+    mates = stage(few.groupBy("key").agg(F.collect_list(F.struct("id", "n", "c")).alias("ps")), "small-buckets")
+    pairs = _pairs(few.join(mates, "key").select("id", "n", "c", F.explode("ps").alias("p")).where("p.id < id"), num, den)
+    links = links.union(_verified(pairs, d, banded, k, num, den))
+    many = here.where(F.col("cnt") > SMALL).withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int")) \
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    ids = many.select(F.col("id").alias("doc_id")).distinct()
+    texts = stage(d.join(ids, "doc_id").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "block-texts")
+    many = many.select("key", "id", "c", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c")
+    many = many.join(texts, "id").select("key", "i", "j", "own", "id", "c", "text") \
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_settle(k, num, den), "a long, b long")
+    links = stage(links.union(many), "all-links")
+    comp = stage(components(links), "final-components")
+
+    of_class = classes.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left") \
+        .select("set_hash", "copies", F.coalesce("component", "rep").alias("component"))
     of_class = stage(of_class, "class-components")
     linked = join_counted(named.select("doc_id", "n", "set_hash"), of_class, "set_hash", ["component"], "copies", F.col("doc_id"))
     alone = sk.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", "set_hash", F.col("doc_id").alias("component"))
@@ -206,14 +258,39 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
         F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-def _verified(spark, pairs: DataFrame, d: DataFrame, banded: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """(a, b, link) for pairs (pivot, id): both sides get sketch and text, then estimate and exact check."""
-    ids = pairs.select(F.col("id")).union(pairs.select("pivot")).distinct()
-    known = banded.join(ids, "id", "left_semi").select(F.col("id").alias("doc_id"), "n", "sketch")
-    cand = stage(d.join(known, "doc_id").dropDuplicates(["doc_id"]), "candidate-texts")
-    left = pairs.join(cand.withColumnRenamed("doc_id", "id"), "id")
-    # a pivot may have very many partners: both sides of this join are plain shuffles, which Spark splits when skewed
-    right = cand.select(F.col("doc_id").alias("pivot"), F.col("n").alias("pivot_n"), F.col("sketch").alias("pivot_sketch"),
-                        F.col("text").alias("pivot_text"))
-    return left.join(right, "pivot").select("pivot", "id", "n", "pivot_n", "sketch", "pivot_sketch", "text", "pivot_text") \
-        .mapInArrow(_verify(k, num, den), "a long, b long, link boolean")
+def _open_buckets(members: DataFrame, comp: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Members (key, id, n, c, cnt) of the buckets that hold several components ``c``, and those buckets."""
+    if comp is None:
+        here = members.withColumn("c", F.col("id"))
+    else:
+        here = stage(members.join(comp.withColumnRenamed("component", "c"), "id", "left")
+                     .withColumn("c", F.coalesce("c", "id")), "with-components")
+    open_ = here.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
+    open_ = stage(open_.select("key", "cnt"), "open-buckets")
+    return stage(join_counted(here.select("key", "id", "n", "c"), open_, "key", ["cnt"], "cnt", F.col("id")), "open-members"), open_
+
+
+def _pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (pivot, id) of rows (id, n, c, p) of different components whose sizes allow a link."""
+    return stage(rows.where((F.col("c") != F.col("p.c")) & (F.lit(den) * F.least("n", "p.n") >= F.lit(num) * F.greatest("n", "p.n")))
+                 .select(F.least("id", "p.id").alias("pivot"), F.greatest("id", "p.id").alias("id")).distinct(), "pairs")
+
+
+def _verified(pairs: DataFrame, d: DataFrame, banded: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) among pairs (pivot, id): first by their sketches, then by their texts.
+
+    A pivot may have very many partners; both sides of each join are plain shuffles, which Spark splits when skewed.
+    """
+    def both_sides(pairs, side):
+        right = side.select([F.col(c).alias("pivot" if c == "id" else f"pivot_{c}") for c in side.columns])
+        return pairs.join(side, "id").join(right, "pivot")
+
+    ids = pairs.select("id").union(pairs.select("pivot")).distinct()
+    known = stage(banded.join(ids, "id", "left_semi").select("id", "n", "sketch"), "pair-sketches")
+    likely = both_sides(pairs, known).select("pivot", "id", "n", "pivot_n", "sketch", "pivot_sketch")
+    likely = stage(likely.mapInArrow(_estimate(num, den), "pivot long, id long"), "likely")
+    ids = likely.select("id").union(likely.select("pivot")).distinct()
+    texts = stage(d.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
+                  .withColumnRenamed("doc_id", "id"), "pair-texts")
+    return stage(both_sides(likely, texts).select("pivot", "id", "text", "pivot_text")
+                 .mapInArrow(_verify(k, num, den), "a long, b long"), "verified")
