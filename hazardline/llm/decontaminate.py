@@ -25,8 +25,8 @@ from hazardline.llm.textnp import LOWER, blocks, mix, utf8
 PIECE = 8
 MAX_EDIT = 0.1
 #: Walks, keys per walk and places per key.  Measured by tests: two walks of strings 10 % apart agree in over 70 %
-#: of places, so one key of 6 places hits with probability over 0.1 and 96 of them miss less than once in 10,000.
-WALKS, KEYS, PLACES = 8, 12, 6
+#: of places, so a key of 5 places hits with probability over 0.16 and 128 of them, were they independent, would hardly miss.
+WALKS, KEYS, PLACES = 8, 16, 5
 ITEMS_AT_ONCE = 20_000   # items sent to the tasks together; more are taken in turns
 
 
@@ -71,6 +71,8 @@ class Items:
         self.key = self.key[order]
         self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
         self.at = np.concatenate(at)[order] if at else np.zeros(0, np.int64)
+        self.keys = np.concatenate([keys(self.text[i:i + 4096], self.length[i:i + 4096]) for i in range(0, len(ids), 4096)]) \
+            if ids else np.zeros((0, WALKS * KEYS), np.uint64)
         self.bits = np.zeros(1 << 22, bool)
         self.bits[self._slot(self.key)] = True
 
@@ -109,30 +111,38 @@ class Items:
 
 
 def embed(rows: np.ndarray, size: np.ndarray, walk: int) -> np.ndarray:
-    """CGK embeddings of byte rows [n, width] (lengths ``size``): [n, 3 * width], 0 once a row is used up."""
+    """CGK embeddings of byte rows [n, width] (lengths ``size``): [n, 3 * width], 0 once a row is used up.
+
+    The walk's random bits depend on the step and the byte only, so equal strings walk alike in rows of any width.
+    """
     n, width = rows.shape
-    step = np.random.RandomState(1000 + walk).randint(0, 2, (3 * width, 256)).astype(np.int64)
-    out, at, idx = np.zeros((n, 3 * width), np.uint8), np.zeros(n, np.int64), np.arange(n)
+    bits = np.random.RandomState(1000 + walk)
+    out, at, idx = np.zeros((3 * width, n), np.uint8), np.zeros(n, np.int64), np.arange(n)
     padded = np.concatenate([rows, np.zeros((n, 1), np.uint8)], 1)
     for j in range(3 * width):
-        c = np.where(at < size, padded[idx, np.minimum(at, width)], 0).astype(np.uint8)
-        out[:, j] = c
-        at += step[j][c]
-    return out
-
-
-def keys(rows: np.ndarray, size: np.ndarray, like: int) -> np.ndarray:
-    """LSH keys [n, WALKS * KEYS] of byte rows; places are sampled among those an item of ``like`` bytes fills."""
-    out = []
+        step = bits.randint(0, 2, 256).astype(np.int64)
+        c = padded[idx, np.minimum(at, size)]
+        out[j] = c
+        at += step[c]
+    return out.T
+
+
+def keys(texts: list[bytes], like: np.ndarray) -> np.ndarray:
+    """LSH keys [n, WALKS * KEYS] of byte strings; places are sampled among those that ``like`` bytes fill."""
+    size = np.array([len(t) for t in texts], np.int64)
+    rows = np.zeros((len(texts), max(int(like.max()), int(size.max()))), np.uint8)
+    for r, t in enumerate(texts):
+        rows[r, :len(t)] = np.frombuffer(t, np.uint8)
+    out, idx = np.empty((len(texts), WALKS * KEYS), np.uint64), np.arange(len(texts))
     for w in range(WALKS):
         e = embed(rows, size, w)
-        place = np.random.RandomState(5000 + w).randint(0, max(1, min(e.shape[1], 2 * like)), (KEYS, PLACES))
-        for p in place:
-            h = np.full(len(rows), len(out) + 1, np.uint64)
-            for c in p:
-                h = mix(h * np.uint64(0x100000001B3) + e[:, c].astype(np.uint64))
-            out.append(h)
-    return np.stack(out, 1)
+        share = np.random.RandomState(5000 + w).random_sample((KEYS, PLACES))
+        for k in range(KEYS):
+            h = np.full(len(rows), w * KEYS + k + 1, np.uint64)
+            for f in share[k]:
+                h = mix(h * np.uint64(0x100000001B3) + e[idx, (f * 2 * like).astype(np.int64)].astype(np.uint64))
+            out[:, w * KEYS + k] = h
+    return out
 
 
 def edit_distance_inside(item: bytes, text: bytes, most: int) -> int:
@@ -155,26 +165,24 @@ def _scan(items: Items):
     def run(batches):
         for b in batches:
             data, offs = utf8(b.column("text"))
-            found = []
+            found, windows, wanted, context = [], [], [], []
             for i, j in blocks(offs):
                 d, o = normalised(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
-                text, item, start = items.windows(d, o)
-                for it in np.unique(item):
-                    m, e = int(items.length[it]), int(items.edits[it])
-                    own = np.flatnonzero(item == it)
-                    lo = np.maximum(start[own], o[text[own]])
-                    hi = np.minimum(lo + m, o[text[own] + 1])
-                    rows = np.zeros((len(own) + 1, m), np.uint8)
-                    for r, (x, y) in enumerate(zip(lo, hi)):
-                        rows[r, :y - x] = d[x:y]
-                    rows[-1] = np.frombuffer(items.text[it], np.uint8)
-                    k = keys(rows, np.append(hi - lo, m), m)
-                    for r in np.flatnonzero((k[:-1] == k[-1]).any(1)):
-                        t = int(text[own[r]])
-                        x, y = max(int(o[t]), int(start[own[r]]) - 2 * e - 8), min(int(o[t + 1]), int(start[own[r]]) + m + 2 * e + 8)
-                        dist = edit_distance_inside(items.text[it], d[x:y].tobytes(), e)
-                        if dist <= e:
-                            found.append((i + t, items.ids[it], dist))
+                for t, it, s in zip(*(x.tolist() for x in items.windows(d, o))):
+                    m, e, lo, hi = int(items.length[it]), int(items.edits[it]), int(o[t]), int(o[t + 1])
+                    x = max(s, lo)
+                    windows.append(d[x:min(x + m, hi)].tobytes())
+                    context.append(d[max(lo, s - 2 * e - PIECE):min(hi, s + m + 2 * e + PIECE)].tobytes())
+                    wanted.append((i + t, it))
+            for at in range(0, len(windows), 4096):
+                it = np.array([w[1] for w in wanted[at:at + 4096]])
+                hit = (keys(windows[at:at + 4096], items.length[it]) == items.keys[it]).any(1)
+                for r in (np.flatnonzero(hit) + at).tolist():
+                    row, k = wanted[r]
+                    most = int(items.edits[k])
+                    dist = 0 if items.text[k] in context[r] else edit_distance_inside(items.text[k], context[r], most)
+                    if dist <= most:
+                        found.append((row, items.ids[k], dist))
             best: dict = {}
             for row, item_id, dist in found:
                 best[row, item_id] = min(dist, best.get((row, item_id), dist))
