@@ -54,13 +54,23 @@ class QualityGateError(ValueError):
     """Nothing to train on / nothing to store."""
 
 
-def quality_gate(df: DataFrame, what: str) -> DataFrame:
-    """Fail when ``df`` is empty; costs one ``limit(1)`` job, nothing is collected."""
-    if df.limit(1).count() == 0:
-        raise QualityGateError(f"empty {what}")
+def quality_gate(df: DataFrame, what: str, dates=None) -> DataFrame:
+    """Fail when ``df`` is empty, or has no row for one of ``dates``; ``df`` should be a stored table."""
+    if dates is None:
+        if df.limit(1).count() == 0:
+            raise QualityGateError(f"empty {what}")
+        return df
+    have = {r[0] for r in df.select("ship_date").distinct().collect()}
+    if missing := sorted(str(x) for x in set(dates) - have):
+        raise QualityGateError(f"empty {what} for {', '.join(missing)}")
     return df
 
 
+def requested_dates(targets: DataFrame) -> list:
+    """The ship dates of a request (calendar-bounded)."""
+    return sorted(r[0] for r in targets.select("ship_date").distinct().collect())
+
+
 @dataclass
 class CorrectionPlan:
     targets: DataFrame
@@ -102,13 +112,16 @@ def correct(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame |
 def run_training_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str) -> DataFrame:
     """D15 weekly training end to end: plan -> curves -> gates -> replace each ship date's curves.
 
-    Writing the curve table is also where lineage is cut: the correction job reads
-    the stored table, not this plan.  Returns the stored table.
+    The curves are computed once, into a staging table; a requested date without curves fails the job
+    before anything is replaced.  Returns the stored table.
     """
+    from hazardline.session import scratch_path
     from hazardline.sources import sinks
     plan = training_plan(spark, src, p)
-    quality_gate(plan.training, "training set")
-    sinks.replace_partitions(sinks.survival_rows(quality_gate(plan.curves, "curve set")), survival_path)
+    dates = requested_dates(plan.targets)
+    staging = scratch_path(spark, "curves")
+    sinks.survival_rows(plan.curves).write.parquet(staging)
+    sinks.replace_partitions(quality_gate(spark.read.parquet(staging), "curve set", dates), survival_path, dates)
     return spark.read.parquet(survival_path)
 
 
@@ -121,12 +134,21 @@ def stored_curves(spark: SparkSession, survival_path: str) -> DataFrame:
 def run_correction_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str,
                        prediction_path: str) -> DataFrame:
     """D15 hourly correction end to end: KT defaults to the last complete synced hour (S8/S9),
-    the curves come from the survival table, each ship date's predictions are replaced."""
+    the curves come from the survival table, every requested ship date's predictions are replaced.
+
+    Without a KT the sources must name their sync tables; "now" has to be asked for ("CURRENT_TIMESTAMP").
+    """
+    from hazardline.session import scratch_path
     from hazardline.sources import sinks
-    if p.knowledge_time is None and src.sync_tables:
+    if p.knowledge_time is None:
+        if not src.sync_tables:
+            raise ValueError("no knowledge time: give one, or sources with sync_tables")
         p = p.with_(knowledge_time=last_complete_hour(src))
-    final = correct(spark, src, p, curves=stored_curves(spark, survival_path))
-    sinks.replace_partitions(sinks.prediction_rows(final), prediction_path)
+    targets = target_dates(spark, src, p, "correct")
+    final = correct(spark, src, p, curves=stored_curves(spark, survival_path), targets=targets)
+    staging = scratch_path(spark, "predictions")
+    sinks.prediction_rows(final).write.parquet(staging)
+    sinks.replace_partitions(spark.read.parquet(staging), prediction_path, requested_dates(targets))
     return spark.read.parquet(prediction_path)
 
 
@@ -142,6 +164,8 @@ def last_complete_hour(src: Sources) -> str:
     """Assume any data from an hour means the previous hour is complete -> floor to the hour."""
     import datetime as dt
     t = latest_sync_time(src)
+    if t is None:
+        raise ValueError("the sync tables are empty: no knowledge time can be derived")
     if t.tzinfo is None:
         t = t.replace(tzinfo=dt.timezone.utc)
     return t.replace(minute=0, second=0, microsecond=0).isoformat()

@@ -20,15 +20,16 @@ def training_set(lifespans: DataFrame) -> DataFrame:
     """
     frt, plan = F.col("freight_id"), F.col("plan_id")
     variants = F.array(*[
-        F.struct((frt if kf else F.lit(0)).cast("int").alias("frt_k"),
+        F.struct(F.lit(level).alias("level"), (frt if kf else F.lit(0)).cast("int").alias("frt_k"),
                  (plan if kp else F.lit(0)).cast("int").alias("plan_k"))
-        for kf, kp in LEVELS
+        for level, (kf, kp) in enumerate(LEVELS)
     ])
     x = lifespans.select("ship_date", "lifespan", "died_bool", "facility_id", "weekly_order_id",
                          tenure_training("user_tenure").alias("tenure"), F.inline(variants))
     x = x.withColumn("grp", group_key("facility_id", "frt_k", "plan_k", "tenure"))
-    return (x.groupBy("ship_date", "lifespan", "died_bool", "grp")
-            .agg(F.count_distinct("weekly_order_id").alias("weight")))
+    # by level too: a real id 0 must not fall together with the rolled-up 0
+    return (x.groupBy("ship_date", "lifespan", "died_bool", "grp", "level")
+            .agg(F.count_distinct("weekly_order_id").alias("weight")).drop("level"))
 
 
 def group_quality_counts(training: DataFrame, min_records: int) -> DataFrame:

@@ -47,7 +47,7 @@ def scale_settings(scoped_input_bytes: int, total_cores: int,
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
-        "spark.sql.shuffle.partitions": str(min(parts, 200_000)),
+        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -82,6 +82,8 @@ def shared_dir(spark: SparkSession) -> str:
         if d:
             # the context appends its own uuid folder; use its parent
             d = d.rsplit("/", 1)[0]
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="hazardline-ckpt-")
         spark.sparkContext.setCheckpointDir(d)

@@ -62,10 +62,18 @@ def create_sink(spark: SparkSession, table: str, ddl: str, location: str) -> Non
               f"PARTITIONED BY (ship_date) LOCATION '{location}'")
 
 
-def replace_partitions(df: DataFrame, path: str) -> None:
-    """S13 replace exactly the ship dates present in ``df`` (dynamic partition overwrite)."""
+def replace_partitions(df: DataFrame, path: str, dates=None) -> None:
+    """S13 replace the ship dates present in ``df`` (dynamic partition overwrite) and, if the requested
+    ``dates`` are given, those of them that got no rows: their old rows go."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ship_date").parquet(path))
+    if dates:
+        spark = df.sparkSession
+        have = {str(r[0]) for r in df.select("ship_date").distinct().collect()}
+        jvm = spark._jvm
+        for d in sorted({str(x) for x in dates} - have):
+            part = jvm.org.apache.hadoop.fs.Path(f"{path}/ship_date={d}")
+            part.getFileSystem(spark._jsc.hadoopConfiguration()).delete(part, True)
 
 
 def insert_replacing(df: DataFrame, table: str) -> None:

@@ -29,6 +29,11 @@ def timezones_frame(spark: SparkSession, zones=FACILITY_ZONES) -> DataFrame:
         F.col("facility_id").cast("int"), F.col("facility_timezone").cast("string"))
 
 
+def sync_times(tables: dict[str, DataFrame], columns: dict[str, str] | None) -> tuple[DataFrame, ...]:
+    """The sync times of each table as a frame with the column ``_synced``."""
+    return tuple(df.select(F.col(columns[t]).cast("timestamp").alias("_synced")) for t, df in tables.items())
+
+
 @dataclass
 class Sources:
     weekly_orders: DataFrame
@@ -42,14 +47,20 @@ class Sources:
     sync_tables: tuple[DataFrame, ...] = ()
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, base: str, zones=FACILITY_ZONES) -> "Sources":
+    def from_parquet(cls, spark: SparkSession, base: str, zones=FACILITY_ZONES,
+                     sync_tables: dict[str, str] | None = None) -> "Sources":
+        """``sync_tables``: table under ``base`` -> column with the time a row was synced."""
         rd = {t: spark.read.parquet(f"{base.rstrip('/')}/{t}") for t in TABLES}
-        return cls(timezones=timezones_frame(spark, zones), **rd)
+        synced = {t: spark.read.parquet(f"{base.rstrip('/')}/{t}") for t in sync_tables or {}}
+        return cls(timezones=timezones_frame(spark, zones), sync_tables=sync_times(synced, sync_tables), **rd)
 
     @classmethod
-    def from_catalog(cls, spark: SparkSession, prefix: str = "", zones=FACILITY_ZONES) -> "Sources":
+    def from_catalog(cls, spark: SparkSession, prefix: str = "", zones=FACILITY_ZONES,
+                     sync_tables: dict[str, str] | None = None) -> "Sources":
+        """``sync_tables``: table name after ``prefix`` -> column with the time a row was synced."""
         rd = {t: spark.table(f"{prefix}{t}") for t in TABLES}
-        return cls(timezones=timezones_frame(spark, zones), **rd)
+        synced = {t: spark.table(f"{prefix}{t}") for t in sync_tables or {}}
+        return cls(timezones=timezones_frame(spark, zones), sync_tables=sync_times(synced, sync_tables), **rd)
 
     def zone_of_facility(self) -> DataFrame:
         """Zone map; literal and tiny, so broadcasting it is always safe."""
