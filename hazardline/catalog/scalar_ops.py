@@ -405,21 +405,15 @@ def q_sql_query_frame(spark, sf_dir):
         args={"kt": p.kt.strftime("%Y-%m-%d %H:%M:%S+00:00")}, d=src.deliveries)
 
 
-@query("cte_pipeline", fxo(f"SELECT d.id AS delivery_id, CASE WHEN ({TENURE_RAW}) <= 3 THEN ({TENURE_RAW}) ELSE 4 END "
-                           f"AS tenure {ORD_JOIN}"))
+@query("cte_pipeline", fx("""
+    SELECT ship_date, CAST(max(meals) AS BIGINT) AS largest_facility, CAST(sum(meals) AS BIGINT) AS meals
+    FROM (SELECT ship_date, facility_id, sum(number_of_meals) AS meals FROM deliveries, params
+          WHERE created_at <= kt GROUP BY ALL) GROUP BY ALL"""))
 def q_cte_pipeline(spark, sf_dir):
-    """Named subqueries (WITH) in Spark SQL over DataFrame arguments."""
+    """Named subqueries (WITH) in Spark SQL over a DataFrame argument."""
     src, p = setup(spark, sf_dir)
     return spark.sql("""
-        WITH tw_first AS (
-            SELECT subscription_id, CAST(min(start_date) AS DATE) AS first_start_date
-            FROM {wo} WHERE created_at <= CAST(:kt AS TIMESTAMP) GROUP BY subscription_id),
-        master AS (
-            SELECT d.id AS delivery_id,
-                   1 + CAST(datediff(CAST(date_trunc('week', wo.start_date) AS DATE),
-                                     CAST(date_trunc('week', f.first_start_date) AS DATE)) / 7 AS INT) AS user_tenure
-            FROM tw_first f JOIN {wo} wo ON f.subscription_id = wo.subscription_id
-            JOIN {d} d ON d.weekly_order_id = wo.id)
-        SELECT delivery_id, CAST(IF(user_tenure <= 3, user_tenure, 4) AS BIGINT) AS tenure FROM master""",
-                     args={"kt": p.kt.strftime("%Y-%m-%d %H:%M:%S+00:00")}, wo=src.weekly_orders, d=src.deliveries)
-
+        WITH seen AS (SELECT ship_date, facility_id, number_of_meals FROM {d} WHERE created_at <= CAST(:kt AS TIMESTAMP)),
+             per_facility AS (SELECT ship_date, facility_id, sum(number_of_meals) AS meals FROM seen GROUP BY ALL)
+        SELECT ship_date, max(meals) AS largest_facility, sum(meals) AS meals FROM per_facility GROUP BY ship_date""",
+                     args={"kt": p.kt.strftime("%Y-%m-%d %H:%M:%S+00:00")}, d=src.deliveries)
