@@ -29,27 +29,22 @@ def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def join_counted(left: DataFrame, groups: DataFrame, key: str, values: list[str], cnt: str,
-                 spread: Column, how: str = "inner") -> DataFrame:
+def join_counted(left: DataFrame, groups: DataFrame, key: str, values: list[str], cnt: str, spread: Column) -> DataFrame:
     """``left`` joined to ``groups`` (a stored table, one row per key, ``cnt`` = rows of ``left`` with it).
 
-    Hot keys are broadcast (at most HOT_SHARE rows, whatever the size of the data) and their
-    rows are then spread over all tasks by ``spread``; the other keys, none of which has more
-    than 1/HOT_SHARE of the rows, meet in an ordinary shuffled join.
+    One shuffled join on key and salt.  Rows of a hot key get one of ``salts`` by ``spread``, and its row in
+    ``groups`` is repeated once per salt, so that no pair of key and salt has more than about 1/HOT_SHARE of the
+    rows.  Only hashes of the hot keys come to the driver: fewer than HOT_SHARE numbers, and fewer than
+    HOT_SHARE * HOT_SHARE / 4 repeated rows, whatever the size of the data.
     """
     total = groups.agg(F.sum(cnt)).first()[0] or 0
-    is_hot = F.col(cnt) * HOT_SHARE > F.lit(total)
-    hot = groups.where(is_hot).select(F.col(key).alias("_hk"), *[F.col(v).alias(f"_h_{v}") for v in values],
-                                      F.lit(True).alias("_hot"))
-    cold = groups.where(~is_hot).select(F.col(key).alias("_ck"), F.lit(0).alias("_cs"),
-                                        *[F.col(v).alias(f"_c_{v}") for v in values],
-                                        F.lit(True).alias("_cold"))
-    keep = left.columns
-    out = left.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
-    out = out.withColumn("_s", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(4096)).cast("int") + 1)
-                         .otherwise(F.lit(0)))
-    out = out.join(cold, (F.col(key) == F.col("_ck")) & (F.col("_s") == F.col("_cs")), "left")
-    if how == "inner":
-        out = out.where(F.col("_hot") | F.col("_cold"))
-    return out.select(*keep, *[F.when(F.col("_hot"), F.col(f"_h_{v}")).otherwise(F.col(f"_c_{v}")).alias(v)
-                               for v in values])
+    hot = groups.where(F.col(cnt) * HOT_SHARE > F.lit(total)).select(F.xxhash64(key), cnt).collect()
+    keep = [*left.columns, *values]
+    if not hot:
+        return left.join(groups.select(key, *values), key).select(*keep)
+    salts = max(-(-n * HOT_SHARE // total) for _, n in hot)
+    is_hot = F.xxhash64(key).isin([h for h, _ in hot])
+    left = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0))
+    groups = groups.select(key, *values, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(int(salts) - 1)))
+                                                   .otherwise(F.array(F.lit(0)))).alias("_salt"))
+    return left.join(groups, [key, "_salt"]).select(*keep)

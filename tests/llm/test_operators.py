@@ -9,8 +9,10 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from hazardline.llm import pii
+from hazardline.llm.common import join_counted
 from hazardline.llm.components import components
 from hazardline.llm.decontaminate import Items, contaminated, decontaminate, edit_distance_inside
 from hazardline.llm.exact_dedup import exact_dedup
@@ -123,6 +125,17 @@ def test_sketch_estimate_is_close():
     assert list(x) == [0] and list(y) == [0]
 
 
+def test_join_counted_spreads_a_hot_key(spark):
+    """A key with a third of the rows and rows without a partner or a key: the plain inner join's rows, on a salt."""
+    rows = [(1 if i % 3 == 0 else i, i) for i in range(6000)] + [(None, -1), (10 ** 6, -2)]
+    left = spark.createDataFrame(rows, "key long, id long")
+    groups = left.where("key <> 1000000").groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("id").alias("low"))
+    out = join_counted(left, groups, "key", ["low"], "cnt", F.col("id"))
+    assert out.columns == ["key", "id", "low"]
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, left.join(groups, "key").select("key", "id", "low").collect()))
+    assert "_salt" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (10, 11), (3, 4), (20, 20), (5, 4), *[(100, i) for i in range(101, 160)], (159, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
