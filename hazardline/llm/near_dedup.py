@@ -222,6 +222,8 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     rows = banded.select("id", "n", F.posexplode("bands").alias("band", "key"))
     buckets = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), "buckets")
     members = stage(join_counted(rows, buckets, "key", [], "cnt", F.col("id")), "members")
+    ids = stage(members.select("id").distinct(), "member-ids")     # stored, so that its size is known to the join
+    d = stage(d.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"]), "member-texts")
     links = comp = None
     for i, (lo, hi) in enumerate(PROBES):
         here, open_ = _open_buckets(members.where((F.col("band") >= lo) & (F.col("band") < hi)), comp)
@@ -240,7 +242,7 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     many = here.where(F.col("cnt") > SMALL).withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int")) \
         .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     ids = many.select(F.col("id").alias("doc_id")).distinct()
-    texts = stage(d.join(ids, "doc_id").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id"), "block-texts")
+    texts = stage(d.join(stage(ids, "block-ids"), "doc_id").withColumnRenamed("doc_id", "id"), "block-texts")
     many = many.select("key", "id", "c", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
         .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c")
     many = many.join(texts, "id").select("key", "i", "j", "own", "id", "c", "text") \
@@ -277,7 +279,7 @@ def _pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, d: DataFrame, banded: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Links (a, b) among pairs (pivot, id): first by their sketches, then by their texts.
+    """Links (a, b) among pairs (pivot, id): first by their sketches, then by their texts in ``d`` (one row per id).
 
     A pivot may have very many partners; both sides of each join are plain shuffles, which Spark splits when skewed.
     """
@@ -290,7 +292,7 @@ def _verified(pairs: DataFrame, d: DataFrame, banded: DataFrame, k: int, num: in
     likely = both_sides(pairs, known).select("pivot", "id", "n", "pivot_n", "sketch", "pivot_sketch")
     likely = stage(likely.mapInArrow(_estimate(num, den), "pivot long, id long"), "likely")
     ids = likely.select("id").union(likely.select("pivot")).distinct()
-    texts = stage(d.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
+    texts = stage(d.join(stage(ids.withColumnRenamed("id", "doc_id"), "pair-ids"), "doc_id")
                   .withColumnRenamed("doc_id", "id"), "pair-texts")
     return stage(both_sides(likely, texts).select("pivot", "id", "text", "pivot_text")
                  .mapInArrow(_verify(k, num, den), "a long, b long"), "verified")
