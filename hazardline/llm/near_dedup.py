@@ -10,7 +10,8 @@
    copies for a few comparisons per member.
 5. Settling: buckets of all bands that still hold several components are compared in full, so no link that banding
    finds is lost: buckets of up to ``SMALL`` members pair by pair as in 4, larger ones as pairs of blocks of about
-   ``BLOCK`` members.  A block pair is one task's work of bounded size, whatever the size of the bucket, and gives
+   ``BLOCK`` members.  A component with many members in a bucket has blocks of its own, which meet only the blocks
+   of others.  A block pair is one task's work of bounded size, whatever the size of the bucket, and gives
    exact intersections by a matrix product over the shared shingles.  Only pairs of different components count.
 """
 
@@ -179,7 +180,10 @@ def _settle(k: int, num: int, den: int):
         if (comp == comp[0]).all():
             return None
         a, b = block_links(list(shingle_sets(t.column("text"), k)), left, right, comp, num, den)
-        a, b = ids[left[a]], ids[right[b]]
+        a, b = left[a], right[b]
+        # one link joins two components; the members of each are joined already
+        one = np.unique(np.stack([comp[a], comp[b]], 1), axis=0, return_index=True)[1]
+        a, b = ids[a[one]], ids[b[one]]
         return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
     def run(batches):
@@ -224,27 +228,25 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     members = stage(join_counted(rows, buckets, "key", [], "cnt", F.col("id")), "members")
     ids = stage(members.select("id").distinct(), "member-ids")     # stored, so that its size is known to the join
     d = stage(d.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"]), "member-texts")
-    links = comp = None
+    links = comp = done = None
     for i, (lo, hi) in enumerate(PROBES):
-        here, open_ = _open_buckets(members.where((F.col("band") >= lo) & (F.col("band") < hi)), comp)
+        here = _open_buckets(members.where((F.col("band") >= lo) & (F.col("band") < hi)), comp)
         pivots = stage(here.groupBy("key").agg(F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(i))).alias("p"),
                                                F.count(F.lit(1)).alias("cnt")), "pivots")
-        pairs = _pairs(join_counted(here, pivots, "key", ["p"], "cnt", F.col("id")), num, den)
+        pairs = _pairs(join_counted(here, pivots, "key", ["p"], "cnt", F.col("id")), done, num, den)
+        done = pairs if done is None else done.union(pairs)
         found = _verified(pairs, d, banded, k, num, den)
         links = stage(found if links is None else links.union(found), "links")
         comp = stage(components(links), "components")
 
-    here, open_ = _open_buckets(members, comp)
+    here = _open_buckets(members, comp)
     few = here.where(F.col("cnt") <= SMALL)
     mates = stage(few.groupBy("key").agg(F.collect_list(F.struct("id", "n", "c")).alias("ps")), "small-buckets")
-    pairs = _pairs(few.join(mates, "key").select("id", "n", "c", F.explode("ps").alias("p")).where("p.id < id"), num, den)
+    pairs = _pairs(few.join(mates, "key").select("id", "n", "c", F.explode("ps").alias("p")).where("p.id < id"), done, num, den)
     links = links.union(_verified(pairs, d, banded, k, num, den))
-    many = here.where(F.col("cnt") > SMALL).withColumn("blocks", F.ceil(F.col("cnt") / BLOCK).cast("int")) \
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    many = stage(_block_pairs(here.where(F.col("cnt") > SMALL)), "block-pairs")
     ids = many.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(d.join(stage(ids, "block-ids"), "doc_id").withColumnRenamed("doc_id", "id"), "block-texts")
-    many = many.select("key", "id", "c", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")) \
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "c")
     many = many.join(texts, "id").select("key", "i", "j", "own", "id", "c", "text") \
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_settle(k, num, den), "a long, b long")
     links = stage(links.union(many), "all-links")
@@ -260,8 +262,8 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
         F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-def _open_buckets(members: DataFrame, comp: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Members (key, id, n, c, cnt) of the buckets that hold several components ``c``, and those buckets."""
+def _open_buckets(members: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """Members (key, id, n, c, cnt) of the buckets that hold several components ``c``."""
     if comp is None:
         here = members.withColumn("c", F.col("id"))
     else:
@@ -269,13 +271,44 @@ def _open_buckets(members: DataFrame, comp: DataFrame | None) -> tuple[DataFrame
                      .withColumn("c", F.coalesce("c", "id")), "with-components")
     open_ = here.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
     open_ = stage(open_.select("key", "cnt"), "open-buckets")
-    return stage(join_counted(here.select("key", "id", "n", "c"), open_, "key", ["cnt"], "cnt", F.col("id")), "open-members"), open_
+    return stage(join_counted(here.select("key", "id", "n", "c"), open_, "key", ["cnt"], "cnt", F.col("id")), "open-members")
 
 
-def _pairs(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct pairs (pivot, id) of rows (id, n, c, p) of different components whose sizes allow a link."""
-    return stage(rows.where((F.col("c") != F.col("p.c")) & (F.lit(den) * F.least("n", "p.n") >= F.lit(num) * F.greatest("n", "p.n")))
-                 .select(F.least("id", "p.id").alias("pivot"), F.greatest("id", "p.id").alias("id")).distinct(), "pairs")
+def _pairs(rows: DataFrame, done: DataFrame | None, num: int, den: int) -> DataFrame:
+    """Distinct pairs (pivot, id) of rows (id, n, c, p) of different components whose sizes allow a link, but for
+    the pairs compared before (``done``)."""
+    pairs = rows.where((F.col("c") != F.col("p.c")) & (F.lit(den) * F.least("n", "p.n") >= F.lit(num) * F.greatest("n", "p.n"))) \
+        .select(F.least("id", "p.id").alias("pivot"), F.greatest("id", "p.id").alias("id")).distinct()
+    return stage(pairs if done is None else pairs.join(done, ["pivot", "id"], "left_anti"), "pairs")
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """(key, i, j, own, id, c): the members (key, id, c) of a bucket in blocks ``own``, once per block pair (i, j) of theirs.
+
+    A component with at least BLOCK / 2 members in a bucket is a unit of its own; the others of the bucket are one
+    unit.  Units are dealt to blocks by hash.  Blocks of one component need no comparison, so no pair is made of them.
+    """
+    big = F.col("size") * 2 >= BLOCK
+    unit = F.struct("key", F.when(big, F.col("c")).alias("c"))
+    rows = rows.withColumn("of", F.struct("key", "c"))
+    sizes = stage(rows.groupBy("of").agg(F.count(F.lit(1)).alias("size")), "bucket-components")
+    rows = stage(join_counted(rows, sizes, "of", ["size"], "size", F.col("id"))
+                 .select("key", "id", "c", unit.alias("unit")), "bucket-units")
+    units = rows.groupBy("unit").agg(F.count(F.lit(1)).alias("cnt"))
+    units = stage(units.select("unit", "cnt", F.ceil(F.col("cnt") / BLOCK).cast("int").alias("blocks")), "units")
+    # members of a component share a block, unless the component is a unit
+    spread = F.pmod(F.when(F.col("unit.c").isNull(), F.xxhash64("c")).otherwise(F.xxhash64("id")), F.col("blocks"))
+    rows = join_counted(rows, units, "unit", ["blocks"], "cnt", F.col("id")) \
+        .select("key", "id", "c", F.xxhash64("unit.c", spread.cast("int")).alias("own"))
+
+    left = units.select(F.col("unit.key").alias("key"), F.col("unit.c").alias("x"), F.col("blocks").alias("nx"))
+    right = left.select("key", F.col("x").alias("y"), F.col("nx").alias("ny"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    pairs = left.join(right, "key").where("x < y OR x IS NULL") \
+        .withColumn("a", every("nx")).withColumn("b", every("ny")).where("x IS NOT NULL OR y IS NOT NULL OR a <= b") \
+        .select("key", F.xxhash64("x", "a").alias("i"), F.xxhash64("y", "b").alias("j"))
+    sides = pairs.select("key", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("own"))
+    return rows.join(sides, ["key", "own"]).select("key", "i", "j", "own", "id", "c")
 
 
 def _verified(pairs: DataFrame, d: DataFrame, banded: DataFrame, k: int, num: int, den: int) -> DataFrame:
