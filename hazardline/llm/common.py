@@ -37,11 +37,11 @@ def join_counted(left: DataFrame, groups: DataFrame, key: str, values: list[str]
     rows.  Only hashes of the hot keys come to the driver: fewer than HOT_SHARE numbers, and fewer than
     HOT_SHARE * HOT_SHARE / 4 repeated rows, whatever the size of the data.
     """
-    total = groups.agg(F.sum(cnt)).first()[0] or 0
-    hot = groups.where(F.col(cnt) * HOT_SHARE > F.lit(total)).select(F.xxhash64(key), cnt).collect()
+    total, most = groups.agg(F.sum(cnt), F.max(cnt)).first()
     keep = [*left.columns, *values]
-    if not hot:
+    if not total or most * HOT_SHARE <= total:
         return left.join(groups.select(key, *values), key).select(*keep)
+    hot = groups.where(F.col(cnt) * HOT_SHARE > F.lit(total)).select(F.xxhash64(key), cnt).collect()
     salts = max(-(-n * HOT_SHARE // total) for _, n in hot)
     is_hot = F.xxhash64(key).isin([h for h, _ in hot])
     left = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0))

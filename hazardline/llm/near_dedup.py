@@ -228,7 +228,7 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     members = stage(join_counted(rows, buckets, "key", [], "cnt", F.col("id")), "members")
     ids = stage(members.select("id").distinct(), "member-ids")     # stored, so that its size is known to the join
     d = stage(d.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"]), "member-texts")
-    links = comp = done = None
+    comp = done = None
     for i, (lo, hi) in enumerate(PROBES):
         here = _open_buckets(members.where((F.col("band") >= lo) & (F.col("band") < hi)), comp)
         pivots = stage(here.groupBy("key").agg(F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(i))).alias("p"),
@@ -236,14 +236,15 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
         pairs = _pairs(join_counted(here, pivots, "key", ["p"], "cnt", F.col("id")), done, num, den)
         done = pairs if done is None else done.union(pairs)
         found = _verified(pairs, d, banded, k, num, den)
-        links = stage(found if links is None else links.union(found), "links")
+        # the stars found so far stand for the links they come from
+        links = found if comp is None else found.union(comp.select(F.col("id").alias("a"), F.col("component").alias("b")))
         comp = stage(components(links), "components")
 
     here = _open_buckets(members, comp)
     few = here.where(F.col("cnt") <= SMALL)
     mates = stage(few.groupBy("key").agg(F.collect_list(F.struct("id", "n", "c")).alias("ps")), "small-buckets")
     pairs = _pairs(few.join(mates, "key").select("id", "n", "c", F.explode("ps").alias("p")).where("p.id < id"), done, num, den)
-    links = links.union(_verified(pairs, d, banded, k, num, den))
+    links = _verified(pairs, d, banded, k, num, den).union(comp.select(F.col("id").alias("a"), F.col("component").alias("b")))
     many = stage(_block_pairs(here.where(F.col("cnt") > SMALL)), "block-pairs")
     ids = many.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(d.join(stage(ids, "block-ids"), "doc_id").withColumnRenamed("doc_id", "id"), "block-texts")
