@@ -1,13 +1,17 @@
 """Licence passages by an exact set-similarity join (built-in functions only).
 
-Base places are found on the normalised word string.  The join compares every text block (line) with licence
-templates as word sets: a block matches a template when it holds at least ``CONTAINMENT`` of its words.
+Base places are found on the normalised word string.  The join compares every window of ceil(words of the template /
+CONTAINMENT) consecutive words, wherever lines break, with the template as a word set: a window matches when it
+holds at least ``CONTAINMENT`` of its words and, in a short template, the word that names the licence.
+
+Windows are looked for in blocks: one starts every ``STEP`` words (the longest window) and has twice as many, so
+each window lies whole in a block and the filters on blocks lose none.
 
 * Words are ordered by how many documents of the whole corpus have them, rarest first.
 * Prefix filter: a block that holds a = ceil(CONTAINMENT * |T|) words of T holds one of T's |T| - a + 1 rarest.
 * Length filter: a block has at least a words that occur in templates.
 * Positional filter: from the first shared word on, both ordered lists must still have a - 1 words.
-* What is left is verified on the full sets, so the filters lose nothing.
+* What is left is verified on each window of the block, so the filters lose nothing.
 """
 
 from __future__ import annotations
@@ -36,6 +40,10 @@ TEMPLATES = [
             "associated documentation files"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
 ]
+#: Words without which a short template says nothing of its licence ("released under the new license").
+NAMES = {"licensed under the apache license version 2 0": "apache",
+         "this work is licensed under the gnu general public license version 3": "gnu",
+         "released under the mit license": "mit"}
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -80,26 +88,38 @@ def word_order(hits: DataFrame) -> list[str]:
 
 
 def similar_blocks(docs: DataFrame, order: list[str], containment: float = CONTAINMENT) -> DataFrame:
-    """(row, label, score): the best containment of each label's templates in any block of a text (row, text)."""
+    """(row, label, score): the best containment of each label's templates in any window of a text (row, text)."""
     spark = docs.sparkSession
     rank = {w: i + 1 for i, w in enumerate(order)}
-    sets = [(k, label, sorted(rank[w] for w in set(t.split()))) for k, (label, t) in enumerate(TEMPLATES)]
-    prefix = [(r, k, label, i, len(s), math.ceil(containment * len(s)), s) for k, label, s in sets
+    sets = [(k, label, sorted(rank[w] for w in set(t.split())), math.ceil(len(t.split()) / containment), rank.get(NAMES.get(t), 0))
+            for k, (label, t) in enumerate(TEMPLATES)]
+    step = max(w for *_, w, _ in sets)
+    prefix = [(r, k, label, i, len(s), math.ceil(containment * len(s)), w, name, s) for k, label, s, w, name in sets
               for i, r in enumerate(s[:len(s) - math.ceil(containment * len(s)) + 1])]
     t = spark.sql("SELECT * FROM VALUES " + ", ".join(
-        f"({r}, {k}, '{label}', {i}, {n}, {a}, array({', '.join(map(str, s))}))" for r, k, label, i, n, a, s in prefix)
-        + " AS t(rank, template, label, t_at, t_size, need, t_set)")
-    blocks = docs.select("row", F.posexplode(F.split("text", "\n")).alias("block", "line")) \
-        .select("row", "block", F.split(spaced(F.col("line")), " ").alias("words")) \
-        .where(F.arrays_overlap("words", _strings([order[r[0] - 1] for r in prefix])))
-    ranks = F.array_sort(F.transform(F.array_intersect("words", _strings(order)), lambda w: F.array_position(_strings(order), w).cast("int")))
-    blocks = blocks.select("row", "block", ranks.alias("b_set"))
-    pairs = blocks.select("row", "block", "b_set", F.posexplode("b_set").alias("b_at", "rank")) \
+        f"({r}, {k}, '{label}', {i}, {n}, {a}, {w}, {name}, array({', '.join(map(str, s))}))" for r, k, label, i, n, a, w, name, s in prefix)
+        + " AS t(rank, template, label, t_at, t_size, need, width, name, t_set)")
+    rare = _strings(sorted({order[r[0] - 1] for r in prefix}))
+    blocks = docs.select("row", F.split(F.trim(spaced(F.col("text"))), " ").alias("words")).where(F.arrays_overlap("words", rare))
+    blocks = blocks.select("row", F.explode(F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("words") - 1) / step).cast("int")),
+        lambda i: F.slice("words", i * step + 1, 2 * step))).alias("words")).where(F.arrays_overlap("words", rare))
+    in_block = F.array_sort(F.transform(F.array_intersect("words", _strings(order)), lambda w: F.array_position(_strings(order), w).cast("int")))
+    blocks = blocks.select("row", "words", in_block.alias("b_set"))
+    pairs = blocks.select("row", "words", "b_set", F.posexplode("b_set").alias("b_at", "rank")) \
         .join(F.broadcast(t), "rank") \
         .where((F.size("b_set") >= F.col("need"))
-               & (F.least(F.col("t_size") - F.col("t_at"), F.size("b_set") - F.col("b_at")) >= F.col("need")))
+               & (F.least(F.col("t_size") - F.col("t_at"), F.size("b_set") - F.col("b_at")) >= F.col("need"))) \
+        .where((F.size(F.array_intersect("b_set", "t_set")) >= F.col("need")) & ((F.col("name") == 0) | F.array_contains("b_set", F.col("name"))))
+    # the ranks of the block in the order of its words, 0 for other words
+    ranks = pairs.select("row", "label", "t_set", "t_size", "need", "width", "name",
+                         F.transform("words", lambda w: F.array_position(_strings(order), w).cast("int")).alias("ranks"))
+    def shared(i):
+        window = F.slice("ranks", i, F.col("width"))
+        return F.when((F.col("name") == 0) | F.array_contains(window, F.col("name")), F.size(F.array_intersect(window, "t_set"))).otherwise(0)
     # a pair may pass on several shared words; verifying each gives the same answer, so none needs a shuffle to go
-    pairs = pairs.withColumn("shared", F.size(F.array_intersect("b_set", "t_set"))).where("shared >= need")
+    pairs = ranks.withColumn("shared", F.array_max(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("ranks") - F.col("width") + 1)), shared))).where("shared >= need")
     return pairs.groupBy("row", "label").agg(F.max(F.col("shared") / F.col("t_size")).alias("score"))
 
 
@@ -107,7 +127,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
     A null or empty text has no words, no labels (empty strings) and score 0.  The score is 1 with a base place,
-    else the best containment of a matching block, else 0.  Texts are named by a 64-bit hash of id and text, so null
+    else the best containment of a matching window, else 0.  Texts are named by a 64-bit hash of id and text, so null
     and repeated ids are no matter.
     """
     d = docs_of(docs, id_col, text_col).withColumn("row", F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "text"))

@@ -306,6 +306,18 @@ def test_licence_words(spark):
     assert got[5].base_labels == "" and got[5].labels == "mit" and 0.8 <= got[5].score < 1
 
 
+def test_licence_blocks_do_not_depend_on_lines(spark):
+    bsd = ("Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided "
+           "that the following conditions are met:")
+    mit = ("Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and "
+           "associated documentation files")
+    far = " ".join(w + " lorem" * 9 for w in mit.split())
+    rows_ = [(0, "lorem\n" * 70 + bsd), (1, mit), (2, "Released under the new license"), (3, far), (4, bsd.replace(" ", "\n")),
+             (5, "licensed under the common license version 2 0"), (6, "ipsum " * 39 + mit.replace("\n", " ") + " ipsum" * 200)]
+    got = {r.doc_id: r.labels for r in license_scan(spark.createDataFrame(rows_, "doc_id long, text string")).collect()}
+    assert got == {0: "bsd", 1: "mit", 2: "", 3: "", 4: "bsd", 5: "", 6: "mit"}
+
+
 def test_language(spark):
     rnd = random.Random(2)
     make = {"xx": ["ka", "lo", "mi"], "yy": ["sch", "ung", "ein"]}
