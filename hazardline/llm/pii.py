@@ -37,7 +37,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _SIGN = re.compile(r"[0-9@]")
-_SPACE = re.compile(r"\s")
+#: White space, separators, quotes and brackets; round ones stay beside digits, as in (838)555-7235.
+_DELIMITER = re.compile(r"""[\s,;|"'`<>\[\]{}=&\u2018-\u201f\u00ab\u00bb\u3001\u3002\u3008-\u3011\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1d\uff1f]"""
+                        r"""|\((?![0-9])|(?<![0-9])\)|(?<=\))\(""")
+#: Where a number or address touches letters of a script that has no spaces.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af\uf900-\ufaff\U00020000-\U0003ffff"
+_SCRIPT = re.compile(f"(?<=[{_UNSPACED}])(?=[A-Za-z0-9+])|(?<=[A-Za-z0-9])(?=[{_UNSPACED}])")
+_EDGE = ".:!?*#/\\()"
 _DIGITS = re.compile(r"[0-9]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -92,19 +98,32 @@ def _shape(w: str) -> str:
 
 
 def tokens(t: str) -> list[tuple[int, int]]:
-    """White-space delimited tokens with a digit or an @, of at most 64 characters (no datum of a kind is longer)."""
+    """Tokens with a digit or an @, of any length: text between delimiters and changes to a script without spaces,
+    less the punctuation at its ends."""
     out, pos = [], 0
     while m := _SIGN.search(t, pos):
         s = m.start()
-        while s > pos and not t[s - 1].isspace():
+        while s > pos and not _DELIMITER.match(t, s - 1):
             s -= 1
-        e = _SPACE.search(t, m.end())
+        e = _DELIMITER.search(t, m.end())
         pos = e.start() if e else len(t)
-        if pos - s <= 64:
-            out.append((s, pos))
+        cuts = [] if t[s:pos].isascii() else [c.start() for c in _SCRIPT.finditer(t, s, pos)]
+        for a, b in zip([s, *cuts], [*cuts, pos]):
+            if _SIGN.search(t, a, b):
+                out.append(_trim(t, a, b))
     return out
 
 
+def _trim(t: str, s: int, e: int) -> tuple[int, int]:
+    while t[s] in _EDGE:
+        s += 1
+    while t[e - 1] in _EDGE:
+        e -= 1
+    if s and t[s - 1] == "(" and t.find(")", s, e) >= 0 and t.find("(", s, e) < 0:
+        s -= 1
+    return s, e
+
+
 def nodes(t: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """(start, end, label, observed, close to the one before, like: index of the previous alike or -1, features)"""
     out, seen, k, last = [], {}, 0, -9

@@ -296,6 +296,29 @@ def test_pii_field_spreads_labels(spark):
     assert got[100].n_card == 2 and got[100].spans.startswith("card:5:21")
 
 
+def test_pii_tokens_are_cut_at_delimiters_and_never_dropped():
+    cut = lambda t: [t[s:e] for s, e in pii.tokens(t)]
+    assert cut("name=abc,no=4111.1111.1111.1111;tel|(838)555-7235," + "x" * 70) == ["4111.1111.1111.1111", "(838)555-7235"]
+    assert cut('{"a":{"b":"5551234567","c":[12,"q@w.ee"]}}' + "y" * 70) == ["5551234567", "12", "q@w.ee"]
+    assert cut("https://host/" + "p" * 70 + "?m=q@w.ee&n=5551234567") == ["q@w.ee", "5551234567"]
+    assert cut("\u7535\u8bdd\u662f" * 30 + "+8613812345678\u8bf7\u53d1q@w.ee\u8c22" + "\u8c22" * 70) == ["+8613812345678", "q@w.ee"]
+    assert cut("z" * 60 + "@" + "w" * 60 + ".example") == ["z" * 60 + "@" + "w" * 60 + ".example"]
+
+
+def pii_corpus():
+    """Cards and phones that repeat, and numbers that are neither."""
+    data = [(i, f"card 4111111111111111 pay 4111111111111111 call +1 838 555 72{i + 10} or +1 838 555 72{i + 10}") for i in range(40)]
+    return data + [(i, f"order {90000 + i}1 of lot {90000 + i}1 x") for i in range(1000, 1300)]
+
+
+def test_pii_field_labels_inside_joined_rows(spark):
+    data = pii_corpus()
+    row = "name=abc," * 10 + "no=4111.1111.1111.1111," + "x" * 30
+    data += [(100, "4111111111111111 and " + row)]
+    got = {r.doc_id: r.spans for r in pii.pii_spans(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[100] == "card:0:16,card:114:133"
+
+
 def test_licence_words(spark):
     rows_ = [(0, None), (1, ""), (2, "MIT License mit license"), (3, "x\nReleased under the MIT license\ny"), (4, "Apache-License é"),
              (5, "permission is hereby granted free of charge to any person obtaining a copy of this software and documentation files")]
