@@ -5,9 +5,11 @@ Base spans come from the patterns.  Around them the field labels every token tha
 * node potentials: log odds of the token's shape, number of digits and preceding word under each label;
 * chain potentials between tokens that follow each other closely;
 * skip potentials between tokens of one document with the same digits or the same lower-cased address, however far
-  apart: each token is linked to the next one like it, so the links grow with the tokens.
+  apart: each is linked to an observed one of each kind among them; where there is none, all are linked to a hub
+  variable.  So any two alike are at most two links apart, and the links grow with the tokens.
 
-All potentials are counts over the whole corpus (labels: the base spans), gathered by grouped sums into a fixed
+All potentials are counts over the whole corpus (labels: the base spans; unlabelled tokens with an observed one alike
+in their document are what the field is to find and do not count as "none"), gathered by grouped sums into a fixed
 number of feature buckets.  Tokens of base spans are observed; loopy belief propagation carries their label along the
 links, and other tokens whose belief in one kind reaches ``BELIEF`` become spans of their own.
 """
@@ -125,8 +127,12 @@ def _trim(t: str, s: int, e: int) -> tuple[int, int]:
 
 
 def nodes(t: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
-    """(start, end, label, observed, close to the one before, like: index of the previous alike or -1, features)"""
+    """(start, end, label, close to the one before, index of the previous alike or -1, features, open)
+
+    A token without a label that has an observed one alike is open: no vote of its features for "none".
+    """
     out, seen, k, last = [], {}, 0, -9
+    likes = []
     for s, e in tokens(t):
         w = t[s:e]
         while k < len(spans) and spans[k][2] <= s:
@@ -140,14 +146,16 @@ def nodes(t: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
         out.append((s, e, label, s - last <= 3, seen.get(like, -1) if like else -1, *feats))
         if like:
             seen[like] = len(out) - 1
+        likes.append(like)
         last = e
-    return out
+    known = {x for x, r in zip(likes, out) if x and r[2]}
+    return [(*r, not r[2] and x in known) for x, r in zip(likes, out)]
 
 
-_NODE = "array<struct<s:int,e:int,y:int,close:boolean,alike:int,f0:int,f1:int,f2:int>>"
+_NODE = "array<struct<s:int,e:int,y:int,close:boolean,alike:int,f0:int,f1:int,f2:int,open:boolean>>"
 _FIRST = f"doc_id long, base array<struct<s:int,k:int,e:int>>, nodes {_NODE}"
 _NODE_PA = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32()), ("y", pa.int32()), ("close", pa.bool_()),
-                               ("alike", pa.int32()), ("f0", pa.int32()), ("f1", pa.int32()), ("f2", pa.int32())]))
+                               ("alike", pa.int32()), ("f0", pa.int32()), ("f1", pa.int32()), ("f2", pa.int32()), ("open", pa.bool_())]))
 _BASE_PA = pa.list_(pa.struct([("s", pa.int32()), ("k", pa.int32()), ("e", pa.int32())]))
 
 
@@ -157,7 +165,7 @@ def _first(batches):
         for t in b.column("text").to_pylist():
             x = base_spans(t)
             base.append([dict(zip("ske", r)) for r in x])
-            found.append([dict(zip(("s", "e", "y", "close", "alike", "f0", "f1", "f2"), r)) for r in nodes(t, x)])
+            found.append([dict(zip(("s", "e", "y", "close", "alike", "f0", "f1", "f2", "open"), r)) for r in nodes(t, x)])
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(base, _BASE_PA), pa.array(found, _NODE_PA)],
                                          names=["doc_id", "base", "nodes"])
 
@@ -191,26 +199,61 @@ class Potentials:
         self.link[1][0, 0] = 0
 
 
-def beliefs(pot: Potentials, y: np.ndarray, feats: np.ndarray, edges: np.ndarray, kind: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Marginals [nodes, labels] by loopy belief propagation; nodes with y > 0 are observed."""
+def skip_links(y: list[int], alike: list[int], hub: int) -> tuple[list[tuple[int, int]], list[float]]:
+    """Skip links (from, to) of a document's tokens and the weight of the message to the second.
+
+    ``alike`` is the index of the previous token alike or -1.  Tokens from ``hub`` on are hubs: what reaches one is the
+    mean of the tokens alike, so that mere repetition is no evidence.
+    """
+    groups: dict[int, list[int]] = {}
+    first: list[int] = []
+    for i, a in enumerate(alike):
+        first.append(first[a] if a >= 0 else i)
+        groups.setdefault(first[i], []).append(i)
+    links, weight = [], []
+    for group in groups.values():
+        if len(group) < 2:
+            continue
+        seen = {}
+        for i in group:
+            if y[i]:
+                seen.setdefault(y[i], i)
+        if not seen and len(group) > 2:
+            links += [(i, hub) for i in group]
+            weight += [1 / len(group)] * len(group)
+            hub += 1
+        else:
+            new = [(a, i) for a in seen.values() for i in group if not y[i]] if seen else [(group[0], group[1])]
+            links += new
+            weight += [1.0] * len(new)
+    return links, weight
+
+
+def beliefs(pot: Potentials, y: np.ndarray, feats: np.ndarray, edges: np.ndarray, kind: np.ndarray, weight: np.ndarray,
+            hubs: int = 0, rounds: int = ROUNDS) -> np.ndarray:
+    """Marginals [nodes, labels] by loopy belief propagation; nodes with y > 0 are observed, the last ``hubs`` are hubs.
+
+    ``weight`` is that of the messages to the second node of each edge.
+    """
     n = len(y)
     own = pot.prior + sum(pot.node[f][feats[:, f]] for f in range(FEATURES))
     fixed = np.full((n, _LABELS), -30.0)
     fixed[np.arange(n), y] = 0
-    own = np.where((y > 0)[:, None], fixed, own)
+    own = np.concatenate([np.where((y > 0)[:, None], fixed, own), np.tile(pot.prior, (hubs, 1))])
     a = np.concatenate([edges[:, 0], edges[:, 1]])
     b = np.concatenate([edges[:, 1], edges[:, 0]])
     table = pot.link[np.concatenate([kind, kind])]
     back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
+    weight = np.concatenate([weight, np.ones(len(edges))])[:, None]
     msg = np.zeros((len(a), _LABELS))
     for _ in range(rounds if len(edges) else 0):
         total = own.copy()
-        np.add.at(total, b, msg)
-        out = total[a] - msg[back]
+        np.add.at(total, b, weight * msg)
+        out = total[a] - (weight * msg)[back]
         out = np.logaddexp.reduce(out[:, :, None] + table, 1)
         msg = 0.5 * msg + 0.5 * (out - np.logaddexp.reduce(out, 1)[:, None])
-    np.add.at(own, b, msg)
-    return np.exp(own - np.logaddexp.reduce(own, 1)[:, None])
+    np.add.at(own, b, weight * msg)
+    return np.exp(own - np.logaddexp.reduce(own, 1)[:, None])[:n]
 
 
 def _label(pot: Potentials):
@@ -222,16 +265,19 @@ def _label(pot: Potentials):
                 size = [len(f or []) for f in found]
                 first = np.cumsum(size) - size
                 flat = [r for f in found for r in f or []]
-                edges, kind = [], []
+                edges, kind, weight, hubs = [], [], [], 0
                 for f, at in zip(found, first.tolist()):
-                    for i, r in enumerate(f or []):
-                        if i and r["close"]:
-                            edges.append((at + i - 1, at + i)), kind.append(0)
-                        if r["alike"] >= 0:
-                            edges.append((at + r["alike"], at + i)), kind.append(1)
+                    chain = [(at + i - 1, at + i) for i, r in enumerate(f or []) if i and r["close"]]
+                    skip, w = skip_links([r["y"] for r in f or []], [r["alike"] for r in f or []], len(flat) + hubs - at)
+                    skip = [(at + i, at + j) for i, j in skip]
+                    hubs = max([hubs, *[j - len(flat) + 1 for _, j in skip]])
+                    edges += chain + skip
+                    kind += [0] * len(chain) + [1] * len(skip)
+                    weight += [1.0] * len(chain) + w
                 y = np.array([r["y"] for r in flat], np.int64)
                 feats = np.array([(r["f0"], r["f1"], r["f2"]) for r in flat], np.int64).reshape(-1, FEATURES)
-                p = beliefs(pot, y, feats, np.array(edges, np.int64).reshape(-1, 2), np.array(kind, np.int64)) if flat else np.zeros((0, _LABELS))
+                p = beliefs(pot, y, feats, np.array(edges, np.int64).reshape(-1, 2), np.array(kind, np.int64),
+                            np.array(weight), hubs) if flat else np.zeros((0, _LABELS))
                 best = p[:, 1:].argmax(1) if len(p) else np.zeros(0, np.int64)
                 new = (y == 0) & (p[np.arange(len(p)), best + 1] >= BELIEF) if len(p) else np.zeros(0, bool)
                 out = {k: [] for k in ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")}
@@ -258,7 +304,7 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     found = stage(docs_of(docs, id_col, text_col).mapInArrow(_first, _FIRST), "pii-nodes")
     node = found.select(F.explode("nodes").alias("x")).select("x.*")
-    votes = node.select("y", F.posexplode(F.array("f0", "f1", "f2")).alias("f", "v")).groupBy("f", "v", "y").count()
+    votes = node.where("NOT open").select("y", F.posexplode(F.array("f0", "f1", "f2")).alias("f", "v")).groupBy("f", "v", "y").count()
     pairs = found.select(F.explode(F.expr(
         "flatten(transform(nodes, (x, i) -> filter(array("
         "  if(i > 0 AND x.close, named_struct('k', 0, 'a', nodes[greatest(i - 1, 0)].y, 'b', x.y), null),"

@@ -319,6 +319,25 @@ def test_pii_field_labels_inside_joined_rows(spark):
     assert got[100] == "card:0:16,card:114:133"
 
 
+def test_pii_field_reaches_every_look_alike(spark):
+    """One observed phone, then 40 look-alikes; numbers that only repeat get no label."""
+    say = "\u4e5d lorem {} ipsum"
+    number = "1-838-555-7235"
+    data = pii_corpus() + [(i, f"call +1-838-555-{i} or +1-838-555-{i}") for i in range(2000, 2040)]
+    data += [(100, "call +1-838-555-7235 " + " ".join(say.format(number) for _ in range(40))),
+             (101, " ".join(say.format("90021-77-3") for _ in range(40)))]
+    got = {r.doc_id: r.spans for r in pii.pii_spans(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert len(got[100].split(",")) == 41 and {x.split(":")[0] for x in got[100].split(",")} == {"phone"}
+    assert got[101] == ""
+
+
+def test_pii_skip_links():
+    assert pii.skip_links([0, 4, 0, 4, 3], [-1, 0, 1, 2, 3], 5) == ([(1, 0), (1, 2), (4, 0), (4, 2)], [1.0] * 4)
+    assert pii.skip_links([0] * 6, [-1, -1, 0, 1, 2, -1], 9) == ([(0, 9), (2, 9), (4, 9), (1, 3)], [1 / 3] * 3 + [1.0])
+    links, _ = pii.skip_links([0] * 1000, list(range(-1, 999)), 1000)
+    assert len(links) == 1000 and {j for _, j in links} == {1000}
+
+
 def test_licence_words(spark):
     rows_ = [(0, None), (1, ""), (2, "MIT License mit license"), (3, "x\nReleased under the MIT license\ny"), (4, "Apache-License é"),
              (5, "permission is hereby granted free of charge to any person obtaining a copy of this software and documentation files")]
