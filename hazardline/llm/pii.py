@@ -1,11 +1,12 @@
 """Personal data by fixed patterns and a skip-chain conditional random field.
 
-Base spans come from the patterns.  Around them the field labels every token that has a digit or an @:
+Base spans come from the patterns.  Around them the field labels every token that has a digit or an @.  A base span is
+one node, and so is a run of digit tokens that holds one number in parts:
 
 * node potentials: log odds of the token's shape, number of digits and preceding word under each label;
 * chain potentials between tokens that follow each other closely;
-* skip potentials between tokens of one document with the same digits or the same lower-cased address, however far
-  apart: each is linked to an observed one of each kind among them; where there is none, all are linked to a hub
+* skip potentials between nodes of one document with the same digits, the same digits but for the country code or
+  trunk 0 of a phone, or the same lower-cased address, however far apart: each is linked to an observed one of each kind among them; where there is none, all are linked to a hub
   variable.  So any two alike are at most two links apart, and the links grow with the tokens.
 
 All potentials are counts over the whole corpus (labels: the base spans; unlabelled tokens with an observed one alike
@@ -48,6 +49,9 @@ _SCRIPT = re.compile(f"(?<=[{_UNSPACED}])(?=[A-Za-z0-9+])|(?<=[A-Za-z0-9])(?=[{_
 _EDGE = ".:!?*#/\\()"
 _DIGITS = re.compile(r"[0-9]+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_PART = re.compile(r"[+(]?[0-9][0-9().\-/]*")      # a token that may be a part of a number
+_GAP = re.compile(r"[ \t\xa0().-]{1,3}")           # between the parts
+LONGEST = 19                                       # digits of a number: the longest card
 
 
 def emails(t: str) -> list[tuple[int, int]]:
@@ -126,28 +130,126 @@ def _trim(t: str, s: int, e: int) -> tuple[int, int]:
     return s, e
 
 
+def _national(d: str) -> str:
+    """The key of a number: of the lengths of a phone with country code or trunk 0, the last ten digits."""
+    if len(d) <= 15:
+        d = d.lstrip("0") or d
+    return d[-10:] if 10 <= len(d) <= 13 else d
+
+
+def span_keys(t: str, spans: list[tuple[int, int, int]]) -> tuple[list[str], dict[str, str]]:
+    """The key of each base span, and the keys of all digits by which a base span can be meant."""
+    keys, digits = [], [_digits(t[s:e]) for s, _, e in spans]
+    known: dict[str, str] = {}
+    for (s, k, e), d in zip(spans, digits):
+        kind = KINDS[k]
+        keys.append(t[s:e].lower() if kind == "email" else "ip " + ".".join(str(int(x)) for x in t[s:e].split(".")) if kind == "ip"
+                    else d if kind == "card" else _national(d))
+        if kind in ("card", "phone"):
+            known.setdefault(d, keys[-1])
+    for code in (1, 2, 3):
+        for (_, k, _), d, key in zip(spans, digits, keys):
+            if KINDS[k] == "phone" and len(d) - code >= 7:
+                known.setdefault(d[code:], key)
+    return keys, known
+
+
+def _key_of(d: str, known: dict[str, str]) -> str:
+    return known.get(d) or known.get(d.lstrip("0")) or (_national(d) if len(d) >= 6 else "")
+
+
+def pieces(t: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int, str]]:
+    """(start, end, label, key) of the nodes: base spans, tokens outside of them, and numbers of several tokens.
+
+    What a base span leaves of its token is kept where it may be a datum of its own (an @ or six digits).
+    """
+    keys, known = span_keys(t, spans)
+    out = [(s, e, k + 1, key) for (s, k, e), key in zip(spans, keys)]
+    covered: list[list[int]] = []
+    for s, _, e in spans:
+        if covered and s < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], e)
+        else:
+            covered.append([s, e])
+    free, k = [], 0
+    for s, e in tokens(t):
+        while k < len(covered) and covered[k][1] <= s:
+            k += 1
+        at, j, rest = s, k, []
+        while j < len(covered) and covered[j][0] < e:
+            rest.append((at, covered[j][0]))
+            at, j = covered[j][1], j + 1
+        if j == k:
+            free.append((s, e))
+        for a, b in [*rest, (at, e)] if rest else []:
+            if a < b and ("@" in t[a:b] or len(_digits(t[a:b])) >= 6):
+                free.append(_trim(t, a, b))
+    part = [_PART.fullmatch(t, s, e) is not None for s, e in free]
+    i = 0
+    while i < len(free):
+        j = i + 1
+        while part[i] and j < len(free) and part[j] and _GAP.fullmatch(t, free[j - 1][1], free[j][0]):
+            j += 1
+        if j == i + 1:
+            s, e = free[i]
+            out.append((s, e, 0, t[s:e].lower() if "@" in t[s:e] else _key_of(_digits(t[s:e]), known)))
+        else:
+            out += [(*_trim(t, s, e), y, key) for s, e, y, key in _numbers([(s, e, _digits(t[s:e])) for s, e in free[i:j]], known)]
+        i = j
+    return sorted(out)
+
+
+def _numbers(run: list[tuple[int, int, str]], known: dict[str, str]) -> list[tuple[int, int, int, str]]:
+    """Nodes of adjacent digit tokens: first the digits of base spans, then short tokens that make up one number."""
+    out, rest, i = [], [], 0
+
+    def close():
+        d = "".join(x for *_, x in rest)
+        if len(rest) > 1 and 7 <= len(d) <= LONGEST:
+            out.append((rest[0][0], rest[-1][1], 0, _key_of(d, known)))
+        else:
+            out.extend((s, e, 0, _key_of(x, known)) for s, e, x in rest)
+        rest.clear()
+
+    while i < len(run):
+        d, found = "", 0
+        for j in range(i, len(run)):
+            d += run[j][2]
+            if len(d) > LONGEST:
+                break
+            if d in known or d.lstrip("0") in known:
+                found, key = j + 1, _key_of(d, known)
+        if found:
+            close()
+            out.append((run[i][0], run[found - 1][1], 0, key))
+            i = found
+            continue
+        if len(run[i][2]) >= 6:
+            close()
+            out.append((run[i][0], run[i][1], 0, _key_of(run[i][2], known)))
+        else:
+            rest.append(run[i])
+        i += 1
+    close()
+    return out
+
+
 def nodes(t: str, spans: list[tuple[int, int, int]]) -> list[tuple]:
     """(start, end, label, close to the one before, index of the previous alike or -1, features, open)
 
-    A token without a label that has an observed one alike is open: no vote of its features for "none".
+    A node without a label that has an observed one alike is open: no vote of its features for "none".
     """
-    out, seen, k, last = [], {}, 0, -9
-    likes = []
-    for s, e in tokens(t):
+    out, seen, likes, last = [], {}, [], -9
+    for s, e, label, like in pieces(t, spans):
         w = t[s:e]
-        while k < len(spans) and spans[k][2] <= s:
-            k += 1
-        label = spans[k][1] + 1 if k < len(spans) and spans[k][0] < e else 0
-        d = _digits(w)
-        like = w.lower().strip(".,;:!?()<>\"'") if "@" in w else d if len(d) >= 6 else ""
         before = t[max(0, s - 16):s].split()
         feats = [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in
-                 (_shape(w), f"n{min(len(d), 20)}", before[-1].lower().strip(".,:;*%$&#") if before else "")]
+                 (_shape(w), f"n{min(len(_digits(w)), 20)}", before[-1].lower().strip(".,:;*%$&#") if before else "")]
         out.append((s, e, label, s - last <= 3, seen.get(like, -1) if like else -1, *feats))
         if like:
             seen[like] = len(out) - 1
         likes.append(like)
-        last = e
+        last = max(e, last)
     known = {x for x, r in zip(likes, out) if x and r[2]}
     return [(*r, not r[2] and x in known) for x, r in zip(likes, out)]
 

@@ -331,6 +331,26 @@ def test_pii_field_reaches_every_look_alike(spark):
     assert got[101] == ""
 
 
+def test_pii_nodes_are_whole_numbers():
+    def alike(t):
+        found = pii.nodes(t, pii.base_spans(t))
+        return [(t[r[0]:r[1]], r[2], r[4]) for r in found]
+    assert alike("a 4111 1111 1111 1111 b 4111.1111.1111.1111 c") == [("4111 1111 1111 1111", 3, -1), ("4111.1111.1111.1111", 0, 0)]
+    assert alike("+1 838 555 7235 or 838.555.7235 or 838 555 7235, (838) 555-7235") == [
+        ("+1 838 555 7235", 4, -1), ("838.555.7235", 0, 0), ("838 555 7235", 0, 1), ("(838) 555-7235", 0, 2)]
+    assert alike("10.0.0.1 x 10.0.0.1:8080 y")[:2] == [("10.0.0.1", 2, -1), ("10.0.0.1", 2, 0)]
+    assert alike("+49 30 123 4567 x 12 030 123 4567 8") == [("+49 30 123 4567", 4, -1), ("12", 0, -1), ("030 123 4567", 0, 0), ("8", 0, -1)]
+    assert alike("838-555-7235 212-555-1234 x 212-555-1234") == [("838-555-7235", 0, -1), ("212-555-1234", 0, -1), ("212-555-1234", 0, 1)]
+    assert alike("q@w.ee/5551234567 x 4111 1111 1111 1112 y 4111-1111-1111-1112") == [
+        ("q@w.ee", 1, -1), ("5551234567", 0, -1), ("4111 1111 1111 1112", 0, -1), ("4111-1111-1111-1112", 0, 2)]
+
+
+def test_pii_field_labels_other_forms(spark):
+    data = pii_corpus() + [(100, "4111 1111 1111 1111 lorem 4111.1111.1111.1111"), (101, "+1 838 555 7235 lorem 838.555.7235")]
+    got = {r.doc_id: r.spans for r in pii.pii_spans(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got[100] == "card:0:19,card:26:45" and got[101] == "phone:0:15,phone:22:34"
+
+
 def test_pii_skip_links():
     assert pii.skip_links([0, 4, 0, 4, 3], [-1, 0, 1, 2, 3], 5) == ([(1, 0), (1, 2), (4, 0), (4, 2)], [1.0] * 4)
     assert pii.skip_links([0] * 6, [-1, -1, 0, 1, 2, -1], 9) == ([(0, 9), (2, 9), (4, 9), (1, 3)], [1 / 3] * 3 + [1.0])
