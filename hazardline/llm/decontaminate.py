@@ -3,9 +3,10 @@
 An item and a passage match if their edit distance is at most ``max_edit`` of the item's length (bytes of the
 text with ASCII case folded and white space runs as one space).
 
-1. Seeds: an item is cut into 8-byte pieces.  At most ``max_edit`` * length pieces can be hurt by that many
-   edits, so a matching window holds the others unchanged near one diagonal.  This is exact; it says which
-   item-sized windows of a document are worth embedding.
+1. Seeds: an item is cut into 8-byte pieces, or shorter ones where 8 bytes give no more pieces than edits.  At most
+   ``max_edit`` * length pieces can be hurt by that many edits, so a matching window holds the others unchanged near
+   one diagonal.  This is exact; it says which item-sized windows of a document are worth embedding.  Windows of
+   items with shorter pieces go to step 3 at once.
 2. CGK: a random walk copies each byte zero or more times, so that few edits become few changed places.  Each
    window and item is embedded with ``WALKS`` seeds; from each embedding ``KEYS`` keys of sampled places are
    taken.  A window is a candidate of an item if any key agrees.
@@ -43,10 +44,16 @@ def normalised(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return low[keep], upto[offs]
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """The PIECE bytes at each position as one integer."""
-    if len(data) < PIECE:
+def _grams(data: np.ndarray, piece: int = PIECE) -> np.ndarray:
+    """The ``piece`` bytes at each position as one integer."""
+    if len(data) < piece:
         return np.zeros(0, np.uint64)
+    if piece < PIECE:
+        n = len(data) - piece + 1
+        out = np.zeros(n, np.uint64)
+        for j in range(piece):
+            out |= data[j:j + n].astype(np.uint64) << np.uint64(8 * j)
+        return out
     return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, PIECE)).view(np.uint64).ravel()
 
 
@@ -58,23 +65,26 @@ class Items:
         self.text = [bytes(normalised(*utf8(pa.array([t])))[0].tobytes().strip()) for t in texts]
         self.length = np.array([len(t) for t in self.text], np.int64)
         self.edits = (self.length * max_edit).astype(np.int64)
-        # Pieces that a match must hold; an item too short for one is only found unchanged, by its first bytes.
-        self.need = np.maximum(1, self.length // PIECE - self.edits)
-        key, item, at = [], [], []
-        for i, t in enumerate(self.text):
-            g = _grams(np.frombuffer(t, np.uint8))[::PIECE]
-            key.append(g)
-            item.append(np.full(len(g), i))
-            at.append(np.arange(len(g)) * PIECE)
-        self.key = np.concatenate(key) if key else np.zeros(0, np.uint64)
-        order = np.argsort(self.key, kind="stable")
-        self.key = self.key[order]
-        self.item = np.concatenate(item)[order] if item else np.zeros(0, np.int64)
-        self.at = np.concatenate(at)[order] if at else np.zeros(0, np.int64)
+        # So many pieces that the edits cannot hurt all; a match must hold the others.
+        self.piece = np.clip(self.length // (self.edits + 1), 1, PIECE)
+        self.need = np.maximum(1, self.length // self.piece - self.edits)
+        self.tables = [self._table(p) for p in sorted({PIECE, *self.piece[self.length > 0].tolist()})]
         self.keys = np.concatenate([keys(self.text[i:i + 4096], self.length[i:i + 4096]) for i in range(0, len(ids), 4096)]) \
             if ids else np.zeros((0, WALKS * KEYS), np.uint64)
-        self.bits = np.zeros(1 << 22, bool)
-        self.bits[self._slot(self.key)] = True
+
+    def _table(self, piece: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(piece, keys in order, their items, their places, slots that have a key) of the items with such pieces."""
+        key, item, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in np.flatnonzero(self.piece == piece).tolist():
+            g = _grams(np.frombuffer(self.text[i], np.uint8), piece)[::piece]
+            key.append(g)
+            item.append(np.full(len(g), i))
+            at.append(np.arange(len(g)) * piece)
+        key = np.concatenate(key)
+        order = np.argsort(key, kind="stable")
+        bits = np.zeros(1 << 22, bool)
+        bits[self._slot(key)] = True
+        return piece, key[order], np.concatenate(item)[order], np.concatenate(at)[order], bits
 
     @staticmethod
     def _slot(k: np.ndarray) -> np.ndarray:
@@ -82,20 +92,10 @@ class Items:
 
     def windows(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, item, start in ``data``) of the windows that hold enough pieces near one diagonal."""
-        g = _grams(data)
-        pos = np.flatnonzero(self.bits[self._slot(g)])
-        lo = np.searchsorted(self.key, g[pos], "left")
-        n = np.searchsorted(self.key, g[pos], "right") - lo
-        pos, lo, n = pos[n > 0], lo[n > 0], n[n > 0]
-        which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        pos = np.repeat(pos, n)
-        text = np.searchsorted(offs, pos, "right") - 1
-        inside = pos + PIECE <= offs[text + 1]
-        pos, which, text = pos[inside], which[inside], text[inside]
-        item = self.item[which]
-        diag = pos - self.at[which]
-        order = np.lexsort((self.at[which], diag, item, text))
-        text, item, diag, piece = text[order], item[order], diag[order], self.at[which][order]
+        hits = [self._hits(data, offs, *t) for t in self.tables]
+        text, item, diag, place = (np.concatenate(x) for x in zip(*hits))
+        order = np.lexsort((place, diag, item, text))
+        text, item, diag = text[order], item[order], diag[order]
         group = text * len(self.ids) + item
         # the hit `need - 1` further on must be of the same text and item and at most 2 * edits diagonals away
         last = np.arange(len(diag)) + self.need[item] - 1
@@ -103,12 +103,28 @@ class Items:
         last = np.minimum(last, max(0, len(diag) - 1))
         ok &= (group[last] == group) & (diag[last] - diag <= 2 * self.edits[item]) if len(diag) else ok
         text, item, diag = text[ok], item[ok], diag[ok]
-        # one window per text, item and stretch of so many diagonals
-        stretch = diag // np.maximum(1, self.edits[item] // 2)
+        # one window per text, item and stretch of so many diagonals; a whole item in one short piece is found once
+        short = self.piece[item] < PIECE
+        stretch = diag // np.where(short, PIECE, np.maximum(1, self.edits[item] // 2))
+        stretch[short & (self.edits[item] == 0)] = 0
         new = np.ones(len(diag), bool)
         new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (stretch[1:] != stretch[:-1])
         return text[new], item[new], diag[new]
 
+    def _hits(self, data, offs, piece, key, item, at, bits):
+        """(text, item, diagonal, place in the item) of the pieces of a table found in the texts."""
+        g = _grams(data, piece)
+        pos = np.flatnonzero(bits[self._slot(g)])
+        lo = np.searchsorted(key, g[pos], "left")
+        n = np.searchsorted(key, g[pos], "right") - lo
+        pos, lo, n = pos[n > 0], lo[n > 0], n[n > 0]
+        which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        pos = np.repeat(pos, n)
+        text = np.searchsorted(offs, pos, "right") - 1
+        inside = pos + piece <= offs[text + 1]
+        pos, which, text = pos[inside], which[inside], text[inside]
+        return text, item[which], pos - at[which], at[which]
+
 
 def embed(rows: np.ndarray, size: np.ndarray, walk: int) -> np.ndarray:
     """CGK embeddings of byte rows [n, width] (lengths ``size``): [n, 3 * width], 0 once a row is used up.
@@ -176,7 +192,10 @@ def _scan(items: Items):
                     wanted.append((i + t, it))
             for at in range(0, len(windows), 4096):
                 it = np.array([w[1] for w in wanted[at:at + 4096]])
-                hit = (keys(windows[at:at + 4096], items.length[it]) == items.keys[it]).any(1)
+                hit = items.piece[it] < PIECE
+                far = np.flatnonzero(~hit)
+                if len(far):
+                    hit[far] = (keys([windows[at + w] for w in far.tolist()], items.length[it[far]]) == items.keys[it[far]]).any(1)
                 for r in (np.flatnonzero(hit) + at).tolist():
                     row, k = wanted[r]
                     most = int(items.edits[k])
@@ -198,7 +217,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  max_edit: float = MAX_EDIT) -> DataFrame:
     """(doc_id, item_id, edits, row): the items found in each document, with the fewest edits of any place.
 
-    Items without text are found nowhere; a null text holds no item.  Items shorter than 8 bytes are not searched.
+    Items without text are found nowhere; a null text holds no item.  Items of less than 10 bytes are found unchanged.
     ``row`` is a hash of id and text.  Items are sent to the tasks in turns of ``ITEMS_AT_ONCE``, so what is sent
     is bounded however large the benchmark is.
     """

@@ -270,6 +270,33 @@ def test_decontamination(spark):
     assert edit_distance_inside(b"hello", b"xx helo yy", 2) == 1 and Items([], []).length.size == 0
 
 
+def test_decontamination_of_short_items(spark):
+    """Items whose every 8-byte piece one edit can hurt, and items shorter than a piece."""
+    rnd = random.Random(12)
+    word = lambda n: "".join(rnd.choice("bcdfghjklmnpqrstvwxz0123456789") for _ in range(n))
+    items = [(n, word(n)) for n in (3, 7, 8, 9, 10, 11, 12, 15, 20, 22, 23, 30, 31, 40)]
+    data, want = [(9, "aeiou " * 50)], set()
+    for n, t in items:
+        for k in range(12):
+            s, edits = list(t), n // 10
+            # one edit in each third or quarter, so that no 8-byte piece stays whole
+            for e in range(edits):
+                at = min(len(s) - 1, e * 8 + rnd.randrange(3, 7))
+                if k % 3 == 0:
+                    s[at] = "u"
+                elif k % 3 == 1:
+                    s[at] += "u"
+                else:
+                    s[at] = ""
+            data.append((n * 100 + k, "ae i" * k + "o" + "".join(s).upper() + "eia" * 9))
+            want.add((n * 100 + k, n))
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {w for w in want if w[1] < 40} <= got and not any(d == 9 for d, _ in got)
+    low = {i: t for i, t in items}
+    assert all(edit_distance_inside(low[i].encode(), dict(data)[d].lower().encode(), 4) <= len(low[i]) // 10 for d, i in got)
+
+
 def test_pii_patterns():
     E = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
     I = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
