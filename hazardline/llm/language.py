@@ -21,7 +21,6 @@ from hazardline.llm.textnp import LOWER, blocks, mix, utf8
 
 BUCKETS = 1 << 15        # trigram buckets
 SAMPLE = 3000            # labelled texts per language for the text model, in order of a hash of their id
-LANGUAGES = 64           # languages told apart at most: those with the most labelled texts
 STRENGTH = 20.0          # pages' worth of evidence that a level takes from the level above it
 TEXT_WEIGHT = 0.2        # trigrams of running text are far from independent
 
@@ -72,14 +71,20 @@ def _count(batches):
 
 def text_model(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                sample: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """(languages, log probabilities [languages, BUCKETS]) from at most ``sample`` labelled texts of each language."""
+    """(languages, log probabilities [languages, BUCKETS]) from at most ``sample`` labelled texts of each language.
+
+    Every labelled language is kept: the model grows with languages times BUCKETS.
+    """
     spark = docs.sparkSession
     lab = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.lower(F.trim(F.col(lang_col))).alias("lang")) \
         .where("doc_id IS NOT NULL AND lang IS NOT NULL AND lang <> ''")
-    langs = sorted(r[0] for r in lab.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
+    size = {r[0]: r[1] for r in lab.groupBy("lang").count().collect()}
+    langs = sorted(size)
     if not langs:
         return [], np.zeros((0, BUCKETS))
-    ids = [(r[0], x) for x in langs for r in lab.where(F.col("lang") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    ids = [(r[0], x) for x in langs if size[x] > sample
+           for r in lab.where(F.col("lang") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    ids += [tuple(r) for r in lab.where(F.col("lang").isin([x for x in langs if size[x] <= sample])).collect()]
     side = spark.createDataFrame(ids, "doc_id long, lang string").dropDuplicates()
     counts = docs_of(docs, id_col, text_col).join(F.broadcast(side), "doc_id").select("lang", "text") \
         .mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -145,8 +150,8 @@ def page_language(pages: DataFrame, langs: list[str], logp: np.ndarray) -> DataF
     of = {x: [0.0] * k for x in ["", *langs]} | confusion
     per = [sum(of[d][i] for d in of) for i in range(k)]
     log_declared = {d: [float(np.log((of[d][i] + 1.0) / (per[i] + len(of)))) for i in range(k)] for d in of}
-    table = F.create_map(*[x for d, v in log_declared.items() for x in (F.lit(d), F.array(*[F.lit(y) for y in v]))])
-    ev = ev.withColumn("both", F.zip_with("like", F.element_at(table, F.col("declared")), lambda a, b: a + b))
+    table = ev.sparkSession.createDataFrame(list(log_declared.items()), "declared string, log_declared array<double>")
+    ev = ev.join(F.broadcast(table), "declared").withColumn("both", F.zip_with("like", "log_declared", lambda a, b: a + b)).drop("log_declared")
     ev = stage(ev.withColumn("post", _softmax(F.col("both"))), "page-posteriors")
 
     total = ev.agg(F.count(F.lit(1)), *[F.sum(F.col("post")[i]) for i in range(k)]).first()

@@ -422,6 +422,19 @@ def test_language(spark):
     assert "nav" not in visible_text("<nav>nav</nav><p>x &amp; y</p>")
 
 
+def test_language_keeps_every_labelled_language(spark):
+    rnd = random.Random(13)
+    make = {"abc"[i // 26] + chr(97 + i % 26): ["".join(rnd.choice("bcdfgklmnprst") + rnd.choice("aeiou") for _ in range(2)) for _ in range(3)] for i in range(70)}
+    say = lambda x, n: " ".join(rnd.choice(make[x]) + rnd.choice(make[x]) for _ in range(n))
+    docs = [(100 * i + k, say(x, 30), x) for i, x in enumerate(make) for k in range(3 if i < 64 else 2)]
+    langs, logp = text_model(spark.createDataFrame(docs, "doc_id long, text string, lang string"), sample=2)
+    assert langs == sorted(make) and logp.shape[0] == 70
+    pages = [(i, f"http://h{i}.com/", f'<html lang="{x}"><p>{say(x, 60)}</p>') for i, x in enumerate(make)]
+    got = {r.page_id: r for r in page_language(spark.createDataFrame(pages, "page_id long, url string, html string"), langs, logp).collect()}
+    wrong = [(x, got[i].lang, got[i].text_lang, got[i].declared) for i, x in enumerate(make) if not got[i].lang == got[i].text_lang == got[i].declared == x]
+    assert not wrong
+
+
 @pytest.mark.parametrize("apply", [exact_dedup, near_dedup, remove_repeats, license_scan, pii.pii_spans, lambda d: token_output(d, BYTE_BPE),
                                    lambda d: pack(d, WORD_BPE), lambda d: quality_scores(d, None)])
 def test_empty_table_and_null_ids(spark, apply):
