@@ -465,6 +465,48 @@ def test_pipeline_stages(spark, tmp_path):
     assert packed.select("doc_id").distinct().count() == sizes[-1]
 
 
+def test_pipeline_decides_row_by_row(spark):
+    import corpus_pipeline as c
+    rnd = random.Random(14)
+    a, b, x, y, z = (words_of(rnd, 60) for _ in range(5))
+    make = lambda rows_: spark.createDataFrame(rows_, "doc_id long, text string, n int")
+    out = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    got = c.exact(spark, make([(5, a, 1), (5, b, 1), (9, a, 1), (None, a, 1), (None, x, 1), (None, x, 1), (7, y, 1), (7, y, 2)]), None)
+    assert out(got) == sorted([(5, b), (9, a), (None, x), (7, y)], key=str) and got.columns == ["doc_id", "text", "n"]
+    got = c.near(spark, make([(1, x, 1), (1, y, 1), (2, x + " end", 1), (0, y + " end", 1), (None, z, 1), (None, z + " end", 1), (None, x + " fin", 1)]), None)
+    kept = out(got)
+    assert kept[:2] == sorted([(0, y + " end"), (1, x)], key=str) and len(kept) == 3 and kept[2] in [(None, z), (None, z + " end")]
+    d = "/root/testdata/sf0.001"
+    item = spark.read.parquet(f"{d}/benchmark.parquet").first().text
+    assert out(c.benchmark(spark, make([(None, f"{a} {item} {b}", 1), (None, a, 1), (3, f"{item} {x}", 1), (3, x, 1)]), d)) == sorted([(None, a), (3, x)], key=str)
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    both = c.quality(spark, docs.union(docs.selectExpr("CAST(null AS long)", "text")), d).collect()
+    assert 0 < len(both) < 400 and sorted(r.text for r in both if r.doc_id is None) == sorted(r.text for r in both if r.doc_id is not None)
+
+
+def test_pipeline_against_plain_stages(spark):
+    import corpus_pipeline as c
+    d = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    left = {r.doc_id: r.text or "" for r in c.quality(spark, docs, d).collect()}
+    last = {t: max(i for i in left if left[i] == t) for t in left.values()}
+    left = {i: t for t, i in last.items()}
+    sets = {}
+    for i, t in left.items():
+        w = re.findall("[^\x20\x09-\x0d]+", t.translate(LOWER))
+        sets[i] = {tuple(w[j:j + 5]) for j in range(max(1, len(w) - 4))} if w else set()
+    comp, links = {i: i for i in sets}, [(i, j) for i in sets for j in sets if i < j and sets[i] and sets[j]
+                                         and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    for _ in range(len(links)):
+        for i, j in links:
+            comp[i] = comp[j] = min(comp[i], comp[j])
+    flat = lambda t: re.sub("[\x20\x09-\x0d]+", " ", t.translate(LOWER)).encode()
+    items = [flat(r.text).strip() for r in spark.read.parquet(f"{d}/benchmark.parquet").collect() if r.text]
+    want = {i for i, t in left.items() if comp[i] == i
+            and not any(edit_distance_inside(x, flat(t), len(x) // 10) <= len(x) // 10 for x in items)}
+    assert {r.doc_id for r in c.run(spark, d).select("doc_id").distinct().collect()} == want
+
+
 def test_oracles(spark):
     duckdb = pytest.importorskip("duckdb")
     from hazardline.llm.queries import ORACLE
