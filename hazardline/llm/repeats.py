@@ -1,15 +1,16 @@
-"""Remove byte strings that occur more than once, by a difference-cover suffix scheme over content-chosen samples.
+"""Remove byte strings that occur more than once, by hash grouping around content-chosen samples.
 
 A difference cover samples positions so that any two equal suffix prefixes have samples at equal distance.  Here
 the samples are chosen by content: every 200-byte string elects the 64-byte gram in it with the smallest hash.
 Equal strings elect the same place, so the property holds exactly, and only one position in about 60 is sampled
-(a cover of period 3 would sort two suffixes of every three bytes).  The steps are those of the method:
+(a cover of period 3 would sort two suffixes of every three bytes).  The cover's recursion on names, its sorting of
+suffixes and its comparison of adjacent prefixes are replaced by grouping hashes of the bytes:
 
 1. samples: each elected position with its *triple* - the strings it stands for (text before it), its gram, and the
-   text after - is named by hash; sorting names finds which grams and which triples repeat;
-2. recursion: a gram seen once ends here; a triple seen twice settles all its strings at once;
-3. merge: for grams that repeat in different triples every remaining start is named by (gram, distance to its
-   sample, 200 bytes from there), and equal names side by side are equal prefixes;
+   text after - is named by hash; grouping names finds which grams and which triples repeat;
+2. settled grams: a gram seen once ends here; a triple seen twice settles all its strings at once;
+3. remaining starts: for grams that repeat in different triples every remaining start is named by (gram, distance to its
+   sample, 200 bytes from there), and starts of one name have equal prefixes;
 4. starts whose prefix has an equal elsewhere are joined to maximal runs per text.
 
 Names are 64-bit hashes of the bytes.
