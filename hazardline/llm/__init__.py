@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators and the queries that apply them.
+"""Training-data operators: thirteen corpus operators and the queries that apply them.
 
 Nothing outside this folder imports it; ``__spark_entry__.py`` adds its queries
 when it is present.  General helpers (shared scratch folder) come from

@@ -1,4 +1,4 @@
-"""The queries op1_ .. op10_ and their oracle SQL (where SQL can express them)."""
+"""The queries op1_ .. op13_ and their oracle SQL (where SQL can express them)."""
 
 from __future__ import annotations
 
@@ -94,3 +94,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hazardline.llm.language import page_language, text_model
     return page_language(table(spark, sf_dir, "pages"), *text_model(table(spark, sf_dir, "documents")))
+
+
+@query("op12_toxicity")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hazardline.llm.toxicity import fit_toxicity, toxicity_scores
+    docs = table(spark, sf_dir, "documents")
+    return toxicity_scores(docs, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hazardline.llm.runs import periodic_runs
+    return periodic_runs(table(spark, sf_dir, "documents"), plant=True)
+
+
+@query("op11_prefix_trie")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hazardline.llm.prefixes import prefix_trie
+    return prefix_trie(table(spark, sf_dir, "conversations"), rebuild=True)
