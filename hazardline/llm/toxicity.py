@@ -262,7 +262,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     repeated id count."""
     who = stage(learners(labels, label), "toxicity-labels")
     texts = docs_of(docs, id_col, text_col).where(~held_out("doc_id"))
-    counted = texts.join(who.where("NOT calibrates").select("doc_id", "y"), "doc_id")
+    # the labels grow with the corpus: the same shuffled join at every size, never a broadcast
+    counted = texts.join(who.where("NOT calibrates").select("doc_id", "y").hint("shuffle_merge"), "doc_id")
     counts = stage(gram_counts(counted), "grams")
     t, o = counts.agg(F.sum("t"), F.sum("o")).first()
     if not t or not o:
@@ -283,8 +284,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
             x = s.features([v.encode() for v in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("y"), *[pa.array(x[:, i]) for i in range(FEATURES)]],
                                              names=["y", *[f"f{i}" for i in range(FEATURES)]])
-    # at most 2 * calibration_rows ids: safe to broadcast; one text an id
-    rows = texts.join(F.broadcast(side), "doc_id").select("y", "text", "doc_id").dropDuplicates(["doc_id"]).select("y", "text")
+    # at most 2 * calibration_rows ids: safe to broadcast; of a repeated id the text with the smallest hash
+    rows = texts.join(F.broadcast(side), "doc_id").groupBy("doc_id").agg(
+        F.min("y").alias("y"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("x")).select("y", "x.text")
     xy = np.array([tuple(r) for r in rows.mapInArrow(
         measured, "y int, " + ", ".join(f"f{i} double" for i in range(FEATURES))).collect()], np.float64).reshape(-1, 1 + FEATURES)
     n = np.bincount(xy[:, 0].astype(int), minlength=2)
