@@ -7,14 +7,16 @@ import datetime as dt
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazardline import jobs
+from hazardline import command, jobs
 from hazardline import oracle as O
 from hazardline.catalog.registry import correction, present, query, setup, training
 from hazardline.operators.lifecycle import order_state_snapshot
 from hazardline.oracle_fixtures import with_fixtures
-from hazardline.params import instant_lit
-from hazardline.session import scratch_path
+from hazardline.params import REFERENCE_KT, instant_lit
+from hazardline.session import ensure_utc, scratch_path
 from hazardline.sources import sinks
+from hazardline.sources.fixtures import fixture_tables
+from hazardline.sources.store import SnapshotTable
 
 KM_SQL = O.training_sql(
     "SELECT target AS ship_date, grp, timeline, round(survival_rate, 9) AS survival_rate FROM km_curve")
@@ -33,14 +35,14 @@ def _decimals_to_double(df):
 
 @query("create_sink", KM_SQL)
 def q_create_sink(spark, sf_dir):
-    """S10 + S13: create the typed survival table if absent, insert the curves replacing
-    only their ship dates, read the table back."""
+    """Create the typed survival table if absent (twice: the second time nothing happens), store the curves, read
+    the table back."""
     _, _, t = training(spark, sf_dir)
-    loc = scratch_path(spark, "survival_table")
-    name = "hz_survival_" + loc.rsplit("-", 1)[-1][:12]
-    sinks.create_sink(spark, name, sinks.SURVIVAL_DDL, loc)
-    sinks.insert_replacing(sinks.survival_rows(t.curves), name)
-    return _curves_readback(spark.table(name))
+    table = SnapshotTable(spark, scratch_path(spark, "survival_table"))
+    table.create(sinks.SURVIVAL_SCHEMA, "ship_date")
+    table.create(sinks.SURVIVAL_SCHEMA, "ship_date")
+    table.replace(sinks.survival_rows(t.curves))
+    return _curves_readback(table.read())
 
 
 @query("decimal_store", O.training_sql(
@@ -55,14 +57,14 @@ def q_decimal_store(spark, sf_dir):
 
 @query("replace_partition", KM_SQL)
 def q_replace_partition(spark, sf_dir):
-    """Write every date, then rerun the latest date alone; the others stay untouched
-    and the rerun date is not duplicated."""
+    """Store every date, then the even days of the month again in one commit; the other dates keep their
+    files and no date has its rows twice."""
     c = sinks.survival_rows(training(spark, sf_dir)[2].curves)
-    path = scratch_path(spark, "survival_parts")
-    sinks.replace_partitions(c, path)
-    latest = c.agg(F.max("ship_date").alias("ship_date"))
-    sinks.replace_partitions(c.join(latest, "ship_date", "left_semi"), path)
-    return _curves_readback(spark.read.parquet(path))
+    table = SnapshotTable(spark, scratch_path(spark, "survival_parts"))
+    table.create(sinks.SURVIVAL_SCHEMA, "ship_date")
+    table.replace(c)
+    table.replace(table.read().filter("day(ship_date) % 2 = 0"))
+    return _curves_readback(table.read())
 
 
 @query("parquet_export", KM_SQL)
@@ -73,22 +75,43 @@ def q_parquet_export(spark, sf_dir):
     return _curves_readback(spark.read.parquet(path))
 
 
+def _command(spark, sf_dir, mode, survival, *more):
+    """The command as a user submits it, over the fixture tables."""
+    sync = [f"{sf_dir.rstrip('/')}/{t}.parquet={c}" for t, c in (("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+    return command.run(spark, [mode, "--source", fixture_tables(spark, sf_dir), "--survival", survival, "--sync", *sync, *more])
+
+
 @query("job_train", KM_SQL)
 def q_job_train(spark, sf_dir):
-    """D15 training job end to end: plan -> curves -> gate -> stored per ship date."""
-    src, p = setup(spark, sf_dir)
-    return _curves_readback(jobs.run_training_job(spark, src, p, scratch_path(spark, "job_train")))
+    """D15 training job by its command: plan -> curves -> gates -> one commit."""
+    ensure_utc(spark)
+    return _curves_readback(_command(spark, sf_dir, "weekly", scratch_path(spark, "job_train"), "--knowledge-time", REFERENCE_KT))
 
 
 @query("job_correct", FINAL_SQL)
 def q_job_correct(spark, sf_dir):
-    """D15 correction job end to end: curves read from the stored survival table."""
+    """D15 correction job by its command, after the training of its dates: curves come from the stored survival table."""
     src, p = setup(spark, sf_dir)
     curve_path = scratch_path(spark, "job_curves")
-    # training for the correction's planned dates, then the correction reading the stored curves
-    targets = jobs.target_dates(spark, src, p, "correct")
-    sinks.replace_partitions(sinks.survival_rows(jobs.train(spark, src, p, targets)), curve_path)
-    out = jobs.run_correction_job(spark, src, p, curve_path, scratch_path(spark, "job_predictions"))
+    dates = [str(d) for d in jobs.requested_dates(jobs.target_dates(spark, src, p, "correct"))]
+    _command(spark, sf_dir, "weekly", curve_path, "--knowledge-time", REFERENCE_KT, "--ship-dates", *dates)
+    out = _command(spark, sf_dir, "hourly", curve_path, "--knowledge-time", REFERENCE_KT,
+                   "--prediction", scratch_path(spark, "job_predictions"))
+    return present(_decimals_to_double(out).select(*O.FINAL_COLUMNS))
+
+
+@query("job_correct_default_time", O.correction_sql(
+    "SELECT " + O.rounded(O.FINAL_COLUMNS) + " FROM cr_final",
+    targets_cte="cr_targets AS (SELECT DISTINCT ship_date AS target FROM deliveries WHERE ship_date BETWEEN DATE '2019-09-09' AND DATE '2019-09-15')",
+    kt="(SELECT date_trunc('hour', max(synced)) FROM sync_times)"))
+def q_job_correct_default_time(spark, sf_dir):
+    """D15 without a knowledge time, for a week of explicit dates: training takes now, the correction the last complete synced hour
+    (all of the fixture is known at either)."""
+    ensure_utc(spark)
+    curve_path = scratch_path(spark, "job_curves")
+    dates = ["--ship-dates", *[f"2019-09-{d:02d}" for d in range(9, 16)]]
+    _command(spark, sf_dir, "weekly", curve_path, *dates)
+    out = _command(spark, sf_dir, "hourly", curve_path, *dates, "--prediction", scratch_path(spark, "job_predictions"))
     return present(_decimals_to_double(out).select(*O.FINAL_COLUMNS))
 
 
@@ -143,13 +166,13 @@ UPSERT_SQL = with_fixtures(O.params_cte(), """ev AS (
 
 @query("upsert_by_key", UPSERT_SQL)
 def q_upsert_by_key(spark, sf_dir):
-    """Order states stored a week before KT, upserted by order id with the states
-    that changed since (incoming rows win)."""
+    """Order states stored a week before KT in a table bucketed by order id, then the states that changed since
+    upserted into it (incoming rows win); the stored table is read back."""
     src, p = setup(spark, sf_dir)
     week_before = instant_lit(p.kt - dt.timedelta(days=7))
     old = order_state_snapshot(src, week_before)
-    path = scratch_path(spark, "order_states")
-    old.write.parquet(path)
-    new = order_state_snapshot(src, p.kt_col()).filter(F.col("state_time") > week_before)
-    return present(sinks.upsert_by_key(spark.read.parquet(path), new, ["weekly_order_id"]))
-
+    table = SnapshotTable(spark, scratch_path(spark, "order_states"))
+    table.create(old.schema, keys=["weekly_order_id"], buckets=16)
+    table.upsert(old)
+    table.upsert(order_state_snapshot(src, p.kt_col()).filter(F.col("state_time") > week_before))
+    return present(table.read())

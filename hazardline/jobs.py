@@ -1,15 +1,16 @@
 """The training and correction jobs as lazy DataFrame pipelines.
 
 All target ship dates of a request run in ONE Spark job keyed by ship_date
-(the reference loops over dates with a time budget).  Only the quality gates
-bring anything to the driver, and only a count.
+(the reference loops over dates with a time budget).  Only the requested dates, the
+folder names of what was written and one sync time come to the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hazardline.operators.facts import training_facts
@@ -19,6 +20,8 @@ from hazardline.operators.training import training_set
 from hazardline.params import RunParams
 from hazardline.plans.dates import target_dates, training_windows
 from hazardline.session import ensure_utc
+from hazardline.sources import sinks
+from hazardline.sources.store import SnapshotTable
 from hazardline.sources.tables import Sources
 
 
@@ -33,7 +36,9 @@ class TrainingPlan:
     curves: DataFrame
 
 
-def training_plan(spark: SparkSession, src: Sources, p: RunParams, targets: DataFrame | None = None) -> TrainingPlan:
+def training_plan(spark: SparkSession, src: Sources, p: RunParams, targets: DataFrame | None = None,
+                  observe: Observation | None = None) -> TrainingPlan:
+    """``observe`` is told the dates that got training rows by whichever job computes the curves."""
     ensure_utc(spark)
     targets = targets if targets is not None else target_dates(spark, src, p, "train")
     windows = training_windows(src, p, targets)
@@ -41,6 +46,8 @@ def training_plan(spark: SparkSession, src: Sources, p: RunParams, targets: Data
     deaths = training_death_times(src, p, windows)
     life = lifespans(facts, deaths)
     ts = training_set(life)
+    if observe is not None:
+        ts = ts.observe(observe, F.collect_set(F.col("ship_date").cast("string")).alias("dates"))
     curves = kaplan_meier(ts, p.min_records, p.horizon)
     return TrainingPlan(targets, windows, facts, deaths, life, ts, curves)
 
@@ -110,62 +117,79 @@ def correct(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame |
 
 
 def run_training_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str) -> DataFrame:
-    """D15 weekly training end to end: plan -> curves -> gates -> replace each ship date's curves.
+    """D15 weekly training end to end: plan -> curves -> gates -> replace the curves of all requested dates in one commit.
 
-    The curves are computed once, into a staging table; a requested date without curves fails the job
-    before anything is replaced.  Returns the stored table.
+    The curves are computed once, into data folders that no reader sees yet; the gates look at what that one job wrote
+    and observed, so they cost no further job.  A requested date without training rows or without curves fails the job
+    and nothing is replaced.  Returns the stored table.
     """
-    from hazardline.session import scratch_path
-    from hazardline.sources import sinks
-    plan = training_plan(spark, src, p)
+    table = SnapshotTable(spark, survival_path)
+    table.create(sinks.SURVIVAL_SCHEMA, "ship_date")
+    seen = Observation()
+    plan = training_plan(spark, src, p, observe=seen)
     dates = requested_dates(plan.targets)
-    staging = scratch_path(spark, "curves")
-    sinks.survival_rows(plan.curves).write.parquet(staging)
-    sinks.replace_partitions(quality_gate(spark.read.parquet(staging), "curve set", dates), survival_path, dates)
-    return spark.read.parquet(survival_path)
+    staged = table.stage(sinks.survival_rows(plan.curves))
+    # with no curve at all the observed node may have been optimised away
+    trained = set(seen.get["dates"]) if staged.values else set()
+    try:
+        gate_dates("training set", dates, trained if staged.values or not dates else None)
+        gate_dates("curve set", dates, staged.values)
+    except QualityGateError:
+        table.discard(staged)
+        raise
+    table.publish(staged, dates, note={"mode": "weekly", "knowledge_time": p.kt.isoformat()})
+    return table.read()
+
+
+def gate_dates(what: str, dates, have) -> None:
+    """Every requested date must be among ``have`` (None: not known, nothing is tested)."""
+    if have is not None and (missing := sorted({str(d) for d in dates} - {str(d) for d in have})):
+        raise QualityGateError(f"empty {what} for {', '.join(missing)}")
 
 
 def stored_curves(spark: SparkSession, survival_path: str) -> DataFrame:
-    """Curves as the correction reads them back from the survival table (rates in double)."""
-    return (spark.read.parquet(survival_path)
-            .select("ship_date", "grp", "timeline", F.col("survival_rate").cast("double").alias("survival_rate")))
+    """Curves as the correction reads them back from the survival table (rates in double); a plain parquet folder will do."""
+    table = SnapshotTable(spark, survival_path)
+    rows = table.read() if table.exists() else spark.read.parquet(survival_path)
+    return rows.select("ship_date", "grp", "timeline", F.col("survival_rate").cast("double").alias("survival_rate"))
 
 
 def run_correction_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str,
                        prediction_path: str) -> DataFrame:
-    """D15 hourly correction end to end: KT defaults to the last complete synced hour (S8/S9),
-    the curves come from the survival table, every requested ship date's predictions are replaced.
+    """D15 hourly correction end to end: KT defaults to the last complete synced hour (S8/S9), the curves come from the
+    survival table, the predictions of all requested ship dates are replaced in one commit.  Returns the stored table.
 
     Without a KT the sources must name their sync tables; "now" has to be asked for ("CURRENT_TIMESTAMP").
     """
-    from hazardline.session import scratch_path
-    from hazardline.sources import sinks
     if p.knowledge_time is None:
         if not src.sync_tables:
             raise ValueError("no knowledge time: give one, or sources with sync_tables")
         p = p.with_(knowledge_time=last_complete_hour(src))
+    table = SnapshotTable(spark, prediction_path)
+    table.create(sinks.PREDICTION_SCHEMA, "ship_date")
     targets = target_dates(spark, src, p, "correct")
     final = correct(spark, src, p, curves=stored_curves(spark, survival_path), targets=targets)
-    staging = scratch_path(spark, "predictions")
-    sinks.prediction_rows(final).write.parquet(staging)
-    sinks.replace_partitions(spark.read.parquet(staging), prediction_path, requested_dates(targets))
-    return spark.read.parquet(prediction_path)
+    table.replace(sinks.prediction_rows(final), requested_dates(targets),
+                  note={"mode": "hourly", "knowledge_time": p.kt.isoformat()})
+    return table.read()
 
 
 def latest_sync_time(src: Sources):
     """Newest sync time over the synced tables (each side aggregates before the union);
     one row comes back to the driver."""
-    from functools import reduce
     parts = [t.agg(F.max("_synced").alias("synced")) for t in src.sync_tables]
     return reduce(lambda a, b: a.unionByName(b), parts).agg(F.max("synced").alias("m")).first()["m"]
 
 
+def synced_hour(src: Sources) -> DataFrame:
+    """S9 one row: the hour that the newest sync time lies in.  Once anything of an hour has arrived, all before that hour has."""
+    newest = [t.agg(F.max("_synced").alias("t")) for t in src.sync_tables]
+    return reduce(DataFrame.unionByName, newest).agg(F.date_trunc("hour", F.max("t")).alias("hour"))
+
+
 def last_complete_hour(src: Sources) -> str:
-    """Assume any data from an hour means the previous hour is complete -> floor to the hour."""
-    import datetime as dt
-    t = latest_sync_time(src)
+    """S9 as a knowledge time."""
+    t = synced_hour(src).select(F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")).first()[0]
     if t is None:
         raise ValueError("the sync tables are empty: no knowledge time can be derived")
-    if t.tzinfo is None:
-        t = t.replace(tzinfo=dt.timezone.utc)
-    return t.replace(minute=0, second=0, microsecond=0).isoformat()
+    return t

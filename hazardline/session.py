@@ -57,11 +57,6 @@ def scale_settings(scoped_input_bytes: int, total_cores: int,
     }
 
 
-def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-
-
 def ensure_utc(spark: SparkSession) -> None:
     """Force the settings every operator relies on (idempotent)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -82,7 +77,7 @@ def shared_dir(spark: SparkSession) -> str:
         if d:
             # the context appends its own uuid folder; use its parent
             d = d.rsplit("/", 1)[0]
-    if not d and not spark.sparkContext.master.startswith("local["):
+    if not d and not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="hazardline-ckpt-")
@@ -101,5 +96,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "scale_settings",
-           "apply_settings"]
+__all__ = ["build_session", "ensure_utc", "shared_dir", "scratch_path", "local_path", "scale_settings"]

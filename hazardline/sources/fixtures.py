@@ -52,17 +52,15 @@ def _base(orders: DataFrame) -> DataFrame:
 _STAGED: dict[tuple[str, str], str] = {}
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str, staged: bool = True) -> Sources:
-    """The fixture views; by default staged once per (application, sf_dir) as parquet
-    tables in the shared checkpoint folder, then read like production tables.  ``staged=False`` gives the lazy views."""
-    views = derived_views(spark, sf_dir)
-    if not staged:
-        return views
+def fixture_tables(spark: SparkSession, sf_dir: str) -> str:
+    """The folder with the fixture views as parquet tables, written once per (application, sf_dir) under the shared
+    checkpoint folder, to be read like production tables."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     base = _STAGED.get(key)
     if base is not None and not _exists(spark, f"{base}/{TABLES[-1]}/_SUCCESS"):
         base = None  # the shared folder was cleaned: stage again
     if base is None:
+        views = derived_views(spark, sf_dir)
         base = scratch_path(spark, "fixture-tables")
         n = spark.sparkContext.defaultParallelism
         for name in TABLES:
@@ -72,7 +70,15 @@ def fixture_sources(spark: SparkSession, sf_dir: str, staged: bool = True) -> So
                 df = df.withColumn("change_set", F.try_parse_json("change_set"))
             df.repartition(n).write.mode("overwrite").parquet(f"{base}/{name}")
         _STAGED[key] = base
-    src = Sources.from_parquet(spark, base)
+    return base
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str, staged: bool = True) -> Sources:
+    """The fixture views, by default from :func:`fixture_tables`; ``staged=False`` gives the lazy views."""
+    views = derived_views(spark, sf_dir)
+    if not staged:
+        return views
+    src = Sources.from_parquet(spark, fixture_tables(spark, sf_dir))
     src.sync_tables = views.sync_tables
     return src
 

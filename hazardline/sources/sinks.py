@@ -1,9 +1,8 @@
-"""S10-S15 sinks: typed tables partitioned by ship date, replaced per partition.
+"""S10-S15 sinks: the types of the stored tables, CSV and parquet export, plain folders.
 
-The reference deletes a ship date's rows and bulk-loads a CSV in one
-transaction.  On Spark the same "replace only my ship dates" is a dynamic
-partition overwrite: each output partition is written by tasks and swapped in
-at job commit, so a lost executor only reruns its tasks.
+The jobs store curves and predictions in :class:`hazardline.sources.store.SnapshotTable`, where all ship dates of a
+request are replaced in one commit.  :func:`replace_partitions` is for folders that are read as plain
+parquet: a dynamic partition overwrite, one date after the other, without a common commit.
 """
 
 from __future__ import annotations
@@ -24,9 +23,9 @@ PREDICTION_SCHEMA = T.StructType(
         "predicted_con", "predicted_cor", "predicted_coa", "predicted_orders", "con", "cor", "coa", "orders",
         "delta_con", "adjusted_con", "delta_cor", "adjusted_cor", "delta_coa", "adjusted_coa")]
     + [T.StructField("ship_date", T.DateType(), False)])
-PREDICTION_DDL = ", ".join(
-    f"{f.name} {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}"
-    for f in PREDICTION_SCHEMA.fields)
+SURVIVAL_SCHEMA = T.StructType([
+    T.StructField("grp", T.StringType(), False), T.StructField("timeline", T.IntegerType(), False),
+    T.StructField("survival_rate", T.DecimalType(17, 15), False), T.StructField("ship_date", T.DateType(), False)])
 
 
 def require(col: str, cond, message: str):
@@ -83,7 +82,8 @@ def insert_replacing(df: DataFrame, table: str) -> None:
 
 
 def upsert_by_key(existing: DataFrame, incoming: DataFrame, keys) -> DataFrame:
-    """S14 rows of ``incoming`` replace rows of ``existing`` with the same key values."""
+    """S14 as a frame: rows of ``incoming`` replace rows of ``existing`` with the same key values
+    (``SnapshotTable.upsert`` stores the result)."""
     keys = list(keys)
     return existing.join(incoming.select(*keys).distinct(), keys, "left_anti").unionByName(incoming)
 

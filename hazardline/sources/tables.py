@@ -49,9 +49,9 @@ class Sources:
     @classmethod
     def from_parquet(cls, spark: SparkSession, base: str, zones=FACILITY_ZONES,
                      sync_tables: dict[str, str] | None = None) -> "Sources":
-        """``sync_tables``: table under ``base`` -> column with the time a row was synced."""
+        """``sync_tables``: table under ``base``, or a path -> column with the time a row was synced."""
         rd = {t: spark.read.parquet(f"{base.rstrip('/')}/{t}") for t in TABLES}
-        synced = {t: spark.read.parquet(f"{base.rstrip('/')}/{t}") for t in sync_tables or {}}
+        synced = {t: spark.read.parquet(t if "/" in t else f"{base.rstrip('/')}/{t}") for t in sync_tables or {}}
         return cls(timezones=timezones_frame(spark, zones), sync_tables=sync_times(synced, sync_tables), **rd)
 
     @classmethod
