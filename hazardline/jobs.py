@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hazardline.operators.facts import training_facts
-from hazardline.operators.lifecycle import lifespans, training_death_times
+from hazardline.operators.lifecycle import lifespans, per_target, training_deaths, training_lives
 from hazardline.operators.survival import kaplan_meier
-from hazardline.operators.training import training_set
+from hazardline.operators.training import training_counts
 from hazardline.params import RunParams
-from hazardline.plans.dates import target_dates, training_windows
+from hazardline.plans.dates import Calendar, literal_dates, target_dates, training_windows
 from hazardline.session import ensure_utc
 from hazardline.sources import sinks
 from hazardline.sources.store import SnapshotTable
@@ -27,29 +27,46 @@ from hazardline.sources.tables import Sources
 
 @dataclass
 class TrainingPlan:
+    src: Sources
+    p: RunParams
     targets: DataFrame
-    windows: DataFrame
-    facts: DataFrame
-    deaths: DataFrame
-    lifespans: DataFrame
+    calendar: Calendar
+    lives: DataFrame
     training: DataFrame
     curves: DataFrame
 
+    # The intermediate tables per target date, which the training itself never builds:
+
+    @property
+    def windows(self) -> DataFrame:
+        return self.calendar.windows(self.targets.sparkSession)
+
+    @property
+    def facts(self) -> DataFrame:
+        return training_facts(self.src, self.p, self.calendar)
+
+    @property
+    def deaths(self) -> DataFrame:
+        return training_deaths(training_lives(self.src, self.p, self.calendar), self.calendar)
+
+    @property
+    def lifespans(self) -> DataFrame:
+        return per_target(self.lives, self.calendar)
+
 
 def training_plan(spark: SparkSession, src: Sources, p: RunParams, targets: DataFrame | None = None,
                   observe: Observation | None = None) -> TrainingPlan:
-    """``observe`` is told the dates that got training rows by whichever job computes the curves."""
+    """The training of all target dates.  The windows are worked out at once and come to the driver (pairs of dates);
+    all else is lazy.  ``observe`` is told the dates that got training rows by whichever job computes the curves."""
     ensure_utc(spark)
     targets = targets if targets is not None else target_dates(spark, src, p, "train")
-    windows = training_windows(src, p, targets)
-    facts = training_facts(src, p, windows)
-    deaths = training_death_times(src, p, windows)
-    life = lifespans(facts, deaths)
-    ts = training_set(life)
+    calendar = Calendar.of(training_windows(src, p, targets))
+    lives = lifespans(training_lives(src, p, calendar), src, p)
+    ts = training_counts(lives, calendar)
     if observe is not None:
         ts = ts.observe(observe, F.collect_set(F.col("ship_date").cast("string")).alias("dates"))
     curves = kaplan_meier(ts, p.min_records, p.horizon)
-    return TrainingPlan(targets, windows, facts, deaths, life, ts, curves)
+    return TrainingPlan(src, p, targets, calendar, lives, ts, curves)
 
 
 def train(spark: SparkSession, src: Sources, p: RunParams, targets: DataFrame | None = None) -> DataFrame:
@@ -98,12 +115,15 @@ def correction_plan(spark: SparkSession, src: Sources, p: RunParams, curves: Dat
     from hazardline.operators.facts import delivery_ordinals
     from hazardline.operators.prediction import birth_cohorts, predicted
     ensure_utc(spark)
-    targets = targets if targets is not None else target_dates(spark, src, p, "correct")
+    dates = requested_dates(targets if targets is not None else target_dates(spark, src, p, "correct"))
+    targets = literal_dates(spark, dates)
     if curves is None:
         curves = train(spark, src, p, targets)
-    ordinals = delivery_ordinals(src, p, targets)
+    elif dates:
+        curves = curves.filter(F.col("ship_date").isin(dates))  # the other dates' folders are not read
+    ordinals = delivery_ordinals(src, p, dates)
     cohorts = birth_cohorts(ordinals)
-    act = actuals(src, p, targets)
+    act = actuals(src, p, targets, dates)
     pred = predicted(cohorts, curves)
     corr = corrected(pred, act)
     return CorrectionPlan(targets, ordinals, cohorts, act, pred, corr, final_prediction(corr, p.freeze_rows),

@@ -28,10 +28,13 @@ from hazardline.sources.tables import Sources
 MEASURES = ("con", "cor", "coa")
 
 
-def correction_events(src: Sources, p: RunParams, targets: DataFrame) -> DataFrame:
-    """D2 for the correction: events of the deliveries shipping on each target date."""
-    dl = (src.deliveries.filter(F.col("created_at") <= p.kt_col())
-          .join(targets.select("ship_date"), "ship_date")
+def correction_events(src: Sources, p: RunParams, targets: DataFrame, dates=None) -> DataFrame:
+    """D2 for the correction: events of the deliveries shipping on each target date (``dates``: the same as literals,
+    which bound the scan)."""
+    dl = src.deliveries.filter(F.col("created_at") <= p.kt_col())
+    if dates:
+        dl = dl.filter(F.col("ship_date").isin(list(dates)))
+    dl = (dl.join(targets.select("ship_date"), "ship_date")
           .select("ship_date", F.col("id").alias("delivery_id"), "weekly_order_id"))
     return order_events(src, p, dl)
 
@@ -69,9 +72,9 @@ def alive_spans(events: DataFrame, p: RunParams) -> DataFrame:
                     F.col("next_bucket").alias("stop")))
 
 
-def actuals(src: Sources, p: RunParams, targets: DataFrame) -> DataFrame:
+def actuals(src: Sources, p: RunParams, targets: DataFrame, dates=None) -> DataFrame:
     """(ship_date, checkpoint, facility_id, freight_id, con, cor, coa, orders)."""
-    spans = alive_spans(correction_events(src, p, targets), p)
+    spans = alive_spans(correction_events(src, p, targets, dates), p)
     edges = F.array(
         F.struct(F.col("start").alias("hour"), F.lit(1).alias("sign")),
         F.when(F.col("stop").isNotNull(), F.struct(F.col("stop").alias("hour"), F.lit(-1).alias("sign"))),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from hazardline.functions.keys import tenure_correction
 from hazardline.functions.timefn import alignment_ts, diff_weeks, finalization_ts, trunc_hour
 from hazardline.params import RunParams
+from hazardline.plans.dates import Calendar
 from hazardline.sources.tables import Sources
 
 
@@ -50,38 +51,49 @@ def with_zone_times(df: DataFrame, src: Sources) -> DataFrame:
     return df.join(zone_times(df, src), ["ship_date", "facility_id"])
 
 
-def training_facts(src: Sources, p: RunParams, windows: DataFrame) -> DataFrame:
-    """MASTER_DATASET for every (target ship date, delivery in its training window)."""
+def zone_calendar(src: Sources, dates) -> DataFrame:
+    """(ship_date, facility_id) -> zone, alignment and finalization for literal ``dates``: dates x zones rows, made
+    from literals, so the broadcast is bounded by the calendar and the large side of the join stays where it is."""
+    days = F.array(*[F.lit(d) for d in dates]) if dates else F.array().cast("array<date>")
+    return F.broadcast(src.timezones.select("*", F.explode(days).alias("ship_date"))
+                       .withColumn("alignment_timestamp", alignment_ts("ship_date", "facility_timezone"))
+                       .withColumn("finalization_timestamp", finalization_ts("ship_date", "facility_timezone")))
+
+
+def training_facts(src: Sources, p: RunParams, calendar: Calendar) -> DataFrame:
+    """MASTER_DATASET for every (target ship date, delivery in its training window): the facts of each delivery once,
+    multiplied by the targets last."""
     kt = p.kt_col()
-    dl = (src.deliveries.filter(known_or_null("created_at", kt))
-          .select(F.col("id").alias("delivery_id"), "weekly_order_id", F.col("ship_date").alias("source_date"),
-                  "facility_id", "freight_id", "plan_id"))
+    dl = (src.deliveries.filter(known_or_null("created_at", kt)).filter(calendar.has("ship_date"))
+          .select(F.col("id").alias("delivery_id"), "weekly_order_id", "ship_date", "facility_id", "freight_id", "plan_id"))
+    dl = dl.join(zone_calendar(src, calendar.source_dates), ["ship_date", "facility_id"])
     wo = (src.weekly_orders.filter(known_or_null("created_at", kt))
           .select(F.col("id").alias("weekly_order_id"), "subscription_id",
                   F.col("created_at").alias("birth_time"), "start_date"))
-
-    def dim(t):
-        return t.filter(known_or_null("created_at", kt)).select("id")
-
-    x = (dl.join(windows, "source_date")
-         .join(wo, "weekly_order_id")
-         .join(first_order_dates(src, p), "subscription_id")
-         .join(dim(src.plans), F.col("plan_id") == F.col("id"), "left_semi")
-         .join(dim(src.freights), F.col("freight_id") == F.col("id"), "left_semi")
-         .join(dim(src.facilities), F.col("facility_id") == F.col("id"), "left_semi"))
-    # alignment/finalization are functions of the delivery's own ship date
-    x = x.withColumnRenamed("ship_date", "target_date").withColumnRenamed("source_date", "ship_date")
-    x = with_zone_times(x, src)
+    x = (known_dimensions(dl, src, p).join(wo, "weekly_order_id").join(first_order_dates(src, p), "subscription_id")
+         .withColumnRenamed("ship_date", "source_date")
+         .join(F.broadcast(calendar.windows(dl.sparkSession)), "source_date"))
     return x.select(
-        F.col("target_date").alias("ship_date"), "weekly_order_id", "delivery_id", "birth_time",
-        (F.lit(1) + diff_weeks("first_start_date", "start_date")).alias("user_tenure"),
+        "ship_date", "weekly_order_id", "delivery_id", "birth_time", user_tenure().alias("user_tenure"),
         "facility_id", "freight_id", "plan_id", "facility_timezone",
-        "alignment_timestamp", "finalization_timestamp", F.col("ship_date").alias("source_date"),
+        "alignment_timestamp", "finalization_timestamp", "source_date",
     )
 
 
-def delivery_ordinals(src: Sources, p: RunParams, targets: DataFrame) -> DataFrame:
-    """DELIVERY_ORDINALS: deliveries shipping on each target date (correction side).
+def known_dimensions(df: DataFrame, src: Sources, p: RunParams) -> DataFrame:
+    """Rows whose plan, freight and facility are known at KT."""
+    for c, t in (("plan_id", src.plans), ("freight_id", src.freights), ("facility_id", src.facilities)):
+        ids = t.filter(known_or_null("created_at", p.kt_col())).select(F.col("id").alias("_id"))
+        df = df.join(ids, F.col(c) == F.col("_id"), "left_semi")
+    return df
+
+
+def user_tenure():
+    return F.lit(1) + diff_weeks("first_start_date", "start_date")
+
+
+def delivery_ordinals(src: Sources, p: RunParams, dates) -> DataFrame:
+    """DELIVERY_ORDINALS: deliveries shipping on each of the target ``dates`` (correction side).
 
     Faithful to the reference (SURVEY Q6): orders/deliveries are not KT-filtered
     here unless ``strict_knowledge_time``; only the first-order date is.
@@ -89,20 +101,21 @@ def delivery_ordinals(src: Sources, p: RunParams, targets: DataFrame) -> DataFra
     kt = p.kt_col()
     dl = src.deliveries
     wo = src.weekly_orders
+    if isinstance(dates, DataFrame):
+        dates = [r[0] for r in dates.select("ship_date").distinct().collect()]
     if p.strict_knowledge_time:
         dl = dl.filter(F.col("created_at") <= kt)
         wo = wo.filter(F.col("created_at") <= kt)
-    dl = dl.join(targets.select("ship_date"), "ship_date").select(
+    dl = dl.filter(F.col("ship_date").isin(list(dates)) if dates else F.lit(False)).select(
         "ship_date", "weekly_order_id", "facility_id", "freight_id", "plan_id",
         "number_of_meals", "is_first_for_subscription")
     wo = wo.select(F.col("id").alias("weekly_order_id"), "subscription_id", "start_date",
                    F.col("created_at").alias("birth_time"))
+    dl = dl.join(zone_calendar(src, dates), ["ship_date", "facility_id"])
     x = dl.join(wo, "weekly_order_id").join(first_order_dates(src, p), "subscription_id")
-    x = with_zone_times(x, src)
     return x.select(
         "ship_date", "weekly_order_id", "facility_id", "freight_id", "plan_id",
-        "number_of_meals", "is_first_for_subscription",
-        tenure_correction(F.lit(1) + diff_weeks("first_start_date", "start_date")).alias("tenure"),
+        "number_of_meals", "is_first_for_subscription", tenure_correction(user_tenure()).alias("tenure"),
         "alignment_timestamp", "finalization_timestamp",
         trunc_hour("birth_time").alias("birth_hour"),
     )

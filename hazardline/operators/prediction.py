@@ -43,7 +43,7 @@ def cohort_weights(cohorts: DataFrame) -> DataFrame:
 
 def choose_curves(weights: DataFrame, curves: DataFrame) -> DataFrame:
     """The curve group each cohort uses (own, else freight-0 fallback, else dropped)."""
-    avail = curves.select("ship_date", "grp").distinct()
+    avail = curves.filter(F.col("timeline") == 0).select("ship_date", "grp")  # one row of every curve
     own = avail.select("ship_date", "grp", F.col("grp").alias("own_grp"))
     fb = avail.select("ship_date", F.col("grp").alias("fallback_grp"), F.col("grp").alias("fb_grp"))
     x = (weights.withColumn("grp", group_key("facility_id", "freight_id", "plan_id", "tenure"))

@@ -6,11 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazardline.functions.keys import group_key, tenure_training
+from hazardline.operators.lifecycle import per_target
+from hazardline.plans.dates import Calendar
 
 # Grouping levels: (keep freight, keep plan).  A rolled-up part is shown as 0.
 LEVELS = ((True, True), (False, True), (True, False), (False, False))
 
 
+def _levels():
+    frt, plan = F.col("freight_id"), F.col("plan_id")
+    return F.array(*[
+        F.struct(F.lit(level).alias("level"), (frt if kf else F.lit(0)).cast("int").alias("frt_k"),
+                 (plan if kp else F.lit(0)).cast("int").alias("plan_k"))
+        for level, (kf, kp) in enumerate(LEVELS)])
+
+
 def training_set(lifespans: DataFrame) -> DataFrame:
     """Distinct orders per (ship_date, lifespan, died, grp) at the four levels.
 
@@ -18,20 +28,33 @@ def training_set(lifespans: DataFrame) -> DataFrame:
     GROUPING SETS Expand does); the rolled-up part is the literal 0, so a NULL
     key part still yields a NULL key (dropped later) exactly as in the reference.
     """
-    frt, plan = F.col("freight_id"), F.col("plan_id")
-    variants = F.array(*[
-        F.struct(F.lit(level).alias("level"), (frt if kf else F.lit(0)).cast("int").alias("frt_k"),
-                 (plan if kp else F.lit(0)).cast("int").alias("plan_k"))
-        for level, (kf, kp) in enumerate(LEVELS)
-    ])
     x = lifespans.select("ship_date", "lifespan", "died_bool", "facility_id", "weekly_order_id",
-                         tenure_training("user_tenure").alias("tenure"), F.inline(variants))
+                         tenure_training("user_tenure").alias("tenure"), F.inline(_levels()))
     x = x.withColumn("grp", group_key("facility_id", "frt_k", "plan_k", "tenure"))
     # by level too: a real id 0 must not fall together with the rolled-up 0
     return (x.groupBy("ship_date", "lifespan", "died_bool", "grp", "level")
             .agg(F.count_distinct("weekly_order_id").alias("weight")).drop("level"))
 
 
+def training_counts(lives: DataFrame, calendar: Calendar) -> DataFrame:
+    """D5 of lifespans whose rows are not multiplied by targets and levels yet.
+
+    An order with one delivery counts once wherever it counts, so these are counted at the finest level per source date, before
+    anything is multiplied: what is multiplied by targets and the four levels are cells, not rows, and their counts
+    add up.  Orders with several deliveries keep their id and are counted distinct.
+    """
+    tenure = tenure_training("user_tenure").alias("tenure")
+    cell = ["target", "source_date", "lifespan", "died_bool", "facility_id", "freight_id", "plan_id", "tenure", "order"]
+    cells = (lives.select("*", tenure, F.when(F.col("target").isNotNull(), F.col("weekly_order_id")).alias("order"))
+             .groupBy(*cell).agg(F.count(F.lit(1)).alias("n")))
+    x = per_target(cells, calendar).select(
+        "ship_date", "lifespan", "died_bool", "facility_id", "tenure", "order", "n", F.inline(_levels()))
+    x = x.withColumn("grp", group_key("facility_id", "frt_k", "plan_k", "tenure"))
+    one = F.sum(F.when(F.col("order").isNull(), F.col("n")))
+    return (x.groupBy("ship_date", "lifespan", "died_bool", "grp", "level")
+            .agg((F.coalesce(one, F.lit(0)) + F.count_distinct("order")).alias("weight")).drop("level"))
+
+
 def group_quality_counts(training: DataFrame, min_records: int) -> DataFrame:
     """A10 per target: groups seen, kept (>= min_records records) and excluded."""
     per = training.filter(F.col("grp").isNotNull()).groupBy("ship_date", "grp").agg(

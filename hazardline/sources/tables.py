@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,11 @@ def literal_rows(spark: SparkSession, rows, names) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
+def literal_table(spark: SparkSession, columns: dict[str, tuple[pa.DataType, list]]) -> DataFrame:
+    """A literal relation of many rows (a LocalRelation: no RDD, no file, no Python at run time)."""
+    return spark.createDataFrame(pa.table({n: pa.array(v, t) for n, (t, v) in columns.items()}))
+
+
 def timezones_frame(spark: SparkSession, zones=FACILITY_ZONES) -> DataFrame:
     """S5 inline facility -> zone relation (3 literal rows; broadcast-safe by construction)."""
     return literal_rows(spark, zones, ("facility_id", "facility_timezone")).select(
