@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from hazardline.functions.keys import alive_flag, change_set_variant
 from hazardline.functions.timefn import diff_hours
 from hazardline.operators.facts import first_order_dates, known_dimensions, known_or_null, user_tenure, with_zone_times, zone_calendar
-from hazardline.params import RunParams
+from hazardline.params import LEVELS, RunParams
 from hazardline.plans.dates import Calendar
 from hazardline.sources.tables import Sources
 
@@ -156,15 +156,23 @@ def training_deaths(lives: DataFrame, calendar: Calendar) -> DataFrame:
 
 def lifespans(lives: DataFrame, src: Sources, p: RunParams) -> DataFrame:
     """D4 lifespan in hour boundaries to death, else censored at the delivery's own finalization, with the tenure;
-    rows still without a target as in :func:`training_lives`."""
+    rows still without a target as in :func:`training_lives`.
+
+    ``first_<level>``: whether a row counts its order in its cell (lifespan, died, group) at that grouping level; of several
+    deliveries of an order in one cell, the one with the smallest id does.
+    """
     x = known_dimensions(lives.filter(F.col("facility_timezone").isNotNull()), src, p)
+    x = x.withColumn("lifespan", diff_hours("birth_time", F.coalesce("death_time", "finalization_timestamp")))
+
+    def first(freight, plan):
+        cell = ["weekly_order_id", "target", "lifespan", "facility_id", *["freight_id"] * freight, *["plan_id"] * plan]
+        return F.row_number().over(Window.partitionBy(*cell).orderBy("delivery_id")) == 1
+    x = x.withColumns({f"first_{i}": first(*level) for i, level in enumerate(LEVELS)})
     x = x.join(first_order_dates(src, p), "subscription_id")
-    end = F.coalesce("death_time", "finalization_timestamp")
     return x.select(
         "target", "source_date", "weekly_order_id", "facility_id", "freight_id", "plan_id", user_tenure().alias("user_tenure"),
-        diff_hours("birth_time", end).alias("lifespan"),
-        F.col("death_time").isNotNull().alias("died_bool"),
-        "birth_time", "death_time", "finalization_timestamp",
+        "lifespan", F.col("death_time").isNotNull().alias("died_bool"),
+        "birth_time", "death_time", "finalization_timestamp", *[f"first_{i}" for i in range(len(LEVELS))],
     )
 
 

@@ -28,13 +28,12 @@ def kaplan_meier(training: DataFrame, min_records: int = MIN_RECORDS, horizon: i
                 F.sum("weight").alias("m"),
                 F.count(F.lit(1)).alias("recs")))
     # One ordering (t ascending) for every window: the group's record count (whole frame),
-    # the at-risk weight n_t = sum_{s>=t} m_s (current row to the end), the next point,
-    # then the running product -- one shuffle, one sort.
+    # the at-risk weight n_t = total - sum_{s<t} m_s (a frame to the end would start anew at every
+    # row), the next point, then the running product -- one shuffle, one sort.
     up = Window.partitionBy(*keys).orderBy("t")
     whole = up.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rest = up.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     run = up.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = (pts.select("*", F.sum("recs").over(whole).alias("records"), F.sum("m").over(rest).alias("n"),
+    x = (pts.select("*", F.sum("recs").over(whole).alias("records"), (F.sum("m").over(whole) - F.sum("m").over(run) + F.col("m")).alias("n"),
                     F.lead("t").over(up).alias("nxt"), (F.row_number().over(up) == 1).alias("first"))
          .filter(F.col("records") >= min_records)  # P12: whole groups kept or dropped
          .withColumn("s", F.product(F.lit(1.0) - F.col("d") / F.col("n")).over(run)))

@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from hazardline.functions.keys import group_key, tenure_training
 from hazardline.operators.lifecycle import per_target
+from hazardline.params import LEVELS
 from hazardline.plans.dates import Calendar
 
-# Grouping levels: (keep freight, keep plan).  A rolled-up part is shown as 0.
-LEVELS = ((True, True), (False, True), (True, False), (False, False))
-
 
 def _levels():
     frt, plan = F.col("freight_id"), F.col("plan_id")
@@ -39,20 +37,23 @@ def training_set(lifespans: DataFrame) -> DataFrame:
 def training_counts(lives: DataFrame, calendar: Calendar) -> DataFrame:
     """D5 of lifespans whose rows are not multiplied by targets and levels yet.
 
-    An order with one delivery counts once wherever it counts, so these are counted at the finest level per source date, before
-    anything is multiplied: what is multiplied by targets and the four levels are cells, not rows, and their counts
-    add up.  Orders with several deliveries keep their id and are counted distinct.
+    ``first_0`` .. ``first_3`` of a row say whether it is the one that counts its order in its cell at a level, so distinct orders
+    are plain sums.  They are summed at the finest level per source date before anything is multiplied: what is multiplied by
+    targets and levels, and shuffled once more, are cells, whose number is bounded by dates x lifespans x groups.  That shuffle
+    is on the curve's key, so the estimator after it needs no other.
     """
-    tenure = tenure_training("user_tenure").alias("tenure")
-    cell = ["target", "source_date", "lifespan", "died_bool", "facility_id", "freight_id", "plan_id", "tenure", "order"]
-    cells = (lives.select("*", tenure, F.when(F.col("target").isNotNull(), F.col("weekly_order_id")).alias("order"))
-             .groupBy(*cell).agg(F.count(F.lit(1)).alias("n")))
-    x = per_target(cells, calendar).select(
-        "ship_date", "lifespan", "died_bool", "facility_id", "tenure", "order", "n", F.inline(_levels()))
-    x = x.withColumn("grp", group_key("facility_id", "frt_k", "plan_k", "tenure"))
-    one = F.sum(F.when(F.col("order").isNull(), F.col("n")))
-    return (x.groupBy("ship_date", "lifespan", "died_bool", "grp", "level")
-            .agg((F.coalesce(one, F.lit(0)) + F.count_distinct("order")).alias("weight")).drop("level"))
+    cells = (lives.select("*", tenure_training("user_tenure").alias("tenure"))
+             .groupBy("target", "source_date", "lifespan", "died_bool", "facility_id", "freight_id", "plan_id", "tenure")
+             .agg(*[F.sum(F.col(f"first_{i}").cast("long")).alias(f"n_{i}") for i in range(len(LEVELS))]))
+    counts = F.array(*[F.col(f"n_{i}") for i in range(len(LEVELS))])
+    # few bytes, but each row becomes many: keep the tasks that AQE would merge by size
+    cells = cells.repartition(int(lives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x = per_target(cells, calendar).select("ship_date", "lifespan", "died_bool", "facility_id", "tenure",
+                                           counts.alias("n"), F.inline(_levels()))
+    x = x.select("ship_date", "lifespan", "died_bool", group_key("facility_id", "frt_k", "plan_k", "tenure").alias("grp"), "level",
+                 F.col("n")[F.col("level")].alias("n")).filter(F.col("n") > 0)
+    return (x.repartition("ship_date", "grp").groupBy("ship_date", "lifespan", "died_bool", "grp", "level")
+            .agg(F.sum("n").alias("weight")).drop("level"))
 
 
 def group_quality_counts(training: DataFrame, min_records: int) -> DataFrame:

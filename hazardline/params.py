@@ -31,6 +31,8 @@ TRAINING_WEEKS = 13
 FREEZE_ROWS = 72
 FINALIZATION_DAYS = 3
 LOCAL_CUTOFF_HOUR = 17
+# Grouping levels of the training set: (keep freight, keep plan).  A rolled-up part is shown as 0.
+LEVELS = ((True, True), (False, True), (True, False), (False, False))
 # Knowledge-time sentinel meaning "now".
 CURRENT_TIMESTAMP = "CURRENT_TIMESTAMP"
 
