@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(run):
+    """A function for mapInArrow that gives its freed memory back to the system at the end of a task: workers are used again, and
+    what one stage needed should not be held through the next."""
+    def of(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return of
+
+
 def docs_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text) with a null text as the empty one."""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),

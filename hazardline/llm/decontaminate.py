@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import docs_of, stage
+from hazardline.llm.common import docs_of, stage, lean
 from hazardline.llm.textnp import LOWER, blocks, mix, utf8
 
 PIECE = 8
@@ -230,7 +230,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         got = [tuple(r) for r in part.orderBy("item_id", "text").limit(ITEMS_AT_ONCE).collect()]
         last = got[-1] if got else None
         items = Items([g[0] for g in got], [g[1] for g in got], max_edit)
-        found = rows.mapInArrow(_scan(items), "doc_id long, item_id long, edits long, row long")
+        found = rows.mapInArrow(lean(_scan(items)), "doc_id long, item_id long, edits long, row long")
         out = found if out is None else out.unionByName(found)
     return out
 

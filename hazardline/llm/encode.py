@@ -8,23 +8,25 @@ are found with numpy over the batch's bytes, and only cuts that hold for both to
   from the rest (the word tokenizer drops white space, so there it makes no difference);
 * between an ASCII letter and an ASCII mark, but not after an apostrophe (contractions).
 
-Texts with white space beyond ASCII are encoded whole.  Known parts are looked up by a 64-bit hash; the table is
-emptied when it is full, so memory is bounded.
+Texts with white space beyond ASCII are encoded whole.  Known parts are looked up by a 64-bit hash with a seed that each
+worker draws for itself, so no text can be made to meet another's part; the table is emptied when it is full, and what a
+worker holds stays under about 60 MB.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 
-from hazardline.llm.textnp import LOWER, blocks, prefix_sums, segments, utf8
+from hazardline.llm.textnp import LOWER, blocks, span_hashes, utf8
 
-_SLOTS = 1 << 22
-_SHIFT = np.uint64(64 - 22)
+_SLOTS = 1 << 21
+_SHIFT = np.uint64(64 - 21)
 MOST_PARTS = _SLOTS // 3       # parts kept
-MOST_IDS = 8_000_000           # ids kept
+MOST_IDS = 4_000_000           # ids kept
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
@@ -78,10 +80,19 @@ class Encoder:
         self._empty()
 
     def _empty(self) -> None:
-        self.keys, self.slot = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.int64)
-        self.parts = 0
-        self.at, self.len = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids, self.used = np.zeros(0, np.uint32), 0
+        self.keys, self.slot = np.zeros(_SLOTS, np.uint64), np.zeros(_SLOTS, np.int32)
+        self.seed = int.from_bytes(os.urandom(8), "little")
+        self.parts = self.used = 0
+        self.at, self.len = np.empty(1 << 16, np.int32), np.empty(1 << 16, np.int32)
+        self.ids = np.empty(1 << 18, np.uint32)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        """``a`` with room for ``n`` entries (at least half as much again where it grows)."""
+        if n <= len(a):
+            return a
+        a.resize(max(n, len(a) * 3 // 2), refcheck=False)
+        return a
 
     def _find(self, h: np.ndarray) -> np.ndarray:
         """Numbers of the parts with these hashes, -1 for unknown ones (open addressing, all at once)."""
@@ -101,8 +112,10 @@ class Encoder:
         ids = np.array(e.ids, np.uint32)
         size = np.bincount(np.array(e.word_ids, np.int64), minlength=len(texts))
         at = self.used + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids[:self.used], ids])
-        self.at, self.len = np.concatenate([self.at, at]), np.concatenate([self.len, size])
+        n = self.parts + len(texts)
+        self.ids, self.at, self.len = self._room(self.ids, self.used + len(ids)), self._room(self.at, n), self._room(self.len, n)
+        self.ids[self.used:self.used + len(ids)] = ids
+        self.at[self.parts:n], self.len[self.parts:n] = at, size
         number, slot = self.parts + np.arange(len(texts)), (hashes >> _SHIFT).astype(np.int64)
         self.used, self.parts = self.used + len(ids), self.parts + len(texts)
         while len(number):
@@ -124,12 +137,13 @@ class Encoder:
         if self.words:  # fewer kinds of parts: no leading space, lower case
             data = LOWER[data]
             s = np.minimum(s + (data[s] == 32), e)
-        h = segments(prefix_sums(data), s, e) | np.uint64(1)
+        h = span_hashes(data, s, e, self.seed) | np.uint64(1)
         n = self._find(h)
         new = np.flatnonzero(n < 0)
         if len(new):
             if self.parts + len(new) > MOST_PARTS or self.used > MOST_IDS:
                 self._empty()
+                h = span_hashes(data, s, e, self.seed) | np.uint64(1)
                 new = np.arange(len(h))
             fresh, first = np.unique(h[new], return_index=True)
             raw = data.tobytes()
@@ -137,7 +151,7 @@ class Encoder:
                 self._learn(fresh[i:i + MOST_PARTS], [raw[s[k]:e[k]].decode("utf-8", "replace")
                                                       for k in new[first[i:i + MOST_PARTS]]])
             n[new] = self._find(h[new])
-        size = self.len[n]
+        size = self.len[n].astype(np.int64)
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.at[n] - (ends - size), size) + np.arange(ends[-1])]
         upto = np.concatenate([[0], ends])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import docs_of, join_counted, stage
+from hazardline.llm.common import docs_of, join_counted, stage, lean
 from hazardline.llm.components import components
 from hazardline.llm.textnp import blocks, mix, shingles, utf8, word_hashes
 
@@ -216,7 +216,7 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     and it is kept.  Rows repeated with one id and text get the same answer.
     """
     d = docs_of(docs, id_col, text_col)
-    sk = stage(d.mapInArrow(_sketch(k), "doc_id long, n long, set_hash binary, sketch binary, bands array<long>"), "sketches")
+    sk = stage(d.mapInArrow(lean(_sketch(k)), "doc_id long, n long, set_hash binary, sketch binary, bands array<long>"), "sketches")
     named = sk.where("n > 0 AND doc_id IS NOT NULL")
     classes = stage(named.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
     reps = sk.join(classes.select(F.col("rep").alias("doc_id"), "set_hash"), ["doc_id", "set_hash"]) \
@@ -249,7 +249,7 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     ids = many.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(d.join(stage(ids, "block-ids"), "doc_id").withColumnRenamed("doc_id", "id"), "block-texts")
     many = many.join(texts, "id").select("key", "i", "j", "own", "id", "c", "text") \
-        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_settle(k, num, den), "a long, b long")
+        .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lean(_settle(k, num, den)), "a long, b long")
     links = stage(links.union(many), "all-links")
     comp = stage(components(links), "final-components")
 
@@ -324,9 +324,9 @@ def _verified(pairs: DataFrame, d: DataFrame, banded: DataFrame, k: int, num: in
     ids = pairs.select("id").union(pairs.select("pivot")).distinct()
     known = stage(banded.join(ids, "id", "left_semi").select("id", "n", "sketch"), "pair-sketches")
     likely = both_sides(pairs, known).select("pivot", "id", "n", "pivot_n", "sketch", "pivot_sketch")
-    likely = stage(likely.mapInArrow(_estimate(num, den), "pivot long, id long"), "likely")
+    likely = stage(likely.mapInArrow(lean(_estimate(num, den)), "pivot long, id long"), "likely")
     ids = likely.select("id").union(likely.select("pivot")).distinct()
     texts = stage(d.join(stage(ids.withColumnRenamed("id", "doc_id"), "pair-ids"), "doc_id")
                   .withColumnRenamed("doc_id", "id"), "pair-texts")
     return stage(both_sides(likely, texts).select("pivot", "id", "text", "pivot_text")
-                 .mapInArrow(_verify(k, num, den), "a long, b long"), "verified")
+                 .mapInArrow(lean(_verify(k, num, den)), "a long, b long"), "verified")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import docs_of, stage
+from hazardline.llm.common import docs_of, stage, lean
 from hazardline.llm.encode import encoder
 
 CAPACITY = 2048
@@ -92,7 +92,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
     documents over ``capacity`` are cut.  Rows repeated with the same id are packed each on their own.
     """
     pieces = stage(docs_of(docs, id_col, text_col).mapInArrow(
-        _pieces(tokenizer, capacity),
+        lean(_pieces(tokenizer, capacity)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, task int, rank long"), "pieces")
     counts = stage(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "length-counts")
     # at most `capacity` rows come to the driver, whatever the corpus
@@ -124,4 +124,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str
                                                     "sequence_id", "offset"])
 
     return ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(
-        place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+        lean(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

@@ -8,7 +8,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardline.llm.common import docs_of
+from hazardline.llm.common import docs_of, lean
 from hazardline.llm.textnp import utf8
 
 #: Labelled rows used, per label: for the dictionaries and, other rows, for the calibration.  Rows are taken in
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column("y"), *[pa.array(x[:, i]) for i in range(x.shape[1])]],
                                              names=["y", "f0", "f1", "f2", "f3"])
     xy = np.array([tuple(r) for r in rows.where("NOT to_dict").select("y", "text").mapInArrow(
-        measured, "y int, f0 double, f1 double, f2 double, f3 double").collect()], np.float64).reshape(-1, 5)
+        lean(measured), "y int, f0 double, f1 double, f2 double, f3 double").collect()], np.float64).reshape(-1, 5)
     if len(np.unique(xy[:, 0])) < 2:
         return None
     # the classes were sampled to equal numbers: weigh the score back to their true odds
@@ -147,6 +147,6 @@ def quality_scores(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
             return
         for b, x in run(batches):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(score(model, x))], names=["doc_id", "score"])
-    out = docs_of(docs, id_col, text_col).mapInArrow(scored, "doc_id long, score double")
+    out = docs_of(docs, id_col, text_col).mapInArrow(lean(scored), "doc_id long, score double")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -71,6 +73,32 @@ def segments(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix(raw + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+#: Spans longer than this are hashed one by one.
+LONG_SPAN = 256
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0x5851F42D4C957F2D) -> np.ndarray:
+    """64-bit hashes of the byte ranges [start, end), eight bytes at a time with a full mixing step after each, so that no
+    sum or product over the bytes can be made to agree."""
+    size = (end - start).astype(np.int64)
+    h = mix(size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(seed))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    todo = np.flatnonzero((size > 0) & (size <= LONG_SPAN))
+    at, left = start[todo], size[todo]
+    while len(todo):
+        word = eight[at]
+        tail = left < 8
+        word[tail] &= (np.uint64(1) << (left[tail] * 8).astype(np.uint64)) - np.uint64(1)
+        h[todo] = mix((h[todo] ^ word) * np.uint64(0x9FB21C651E98DF25))
+        more = left > 8
+        todo, at, left = todo[more], at[more] + 8, left[more] - 8
+    for i in np.flatnonzero(size > LONG_SPAN).tolist():
+        d = hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8, key=int(seed).to_bytes(8, "little")).digest()
+        h[i] = np.frombuffer(d, "<u8")[0]
+    return h
+
+
 _WS = np.zeros(256, bool)
 _WS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -97,8 +125,7 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
         e = np.flatnonzero(last) + 1
     else:
         s = e = np.zeros(0, np.int64)
-    h = segments(prefix_sums(low), s, e)
-    return h, np.searchsorted(s, offs)
+    return span_hashes(low, s, e), np.searchsorted(s, offs)
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
