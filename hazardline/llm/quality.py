@@ -150,3 +150,18 @@ def quality_scores(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
     out = docs_of(docs, id_col, text_col).mapInArrow(lean(scored), "doc_id long, score double")
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "score",
                       (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_rejected(docs: DataFrame, model: dict | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the classifier does not reject, with all their columns, scored as in :func:`quality_scores`
+    where they are: no join, no shuffle.  Without a model all rows stay."""
+    if model is None:
+        return docs
+    run = _features(model["dicts"])
+
+    def kept(batches):
+        for b in batches:
+            text = b.column(text_col).cast(pa.string())
+            for _, x in run([pa.RecordBatch.from_arrays([text], names=["text"])]):
+                yield b.filter(pa.array(score(model, x) >= threshold))
+    return docs.mapInArrow(lean(kept), docs.schema)
