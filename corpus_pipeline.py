@@ -15,7 +15,7 @@ from hazardline.llm.decontaminate import contaminated
 from hazardline.llm.exact_dedup import exact_dedup
 from hazardline.llm.near_dedup import near_dedup
 from hazardline.llm.packing import pack
-from hazardline.llm.quality import fit, quality_scores
+from hazardline.llm.quality import fit, without_rejected
 from hazardline.llm.queries import tokenizer_path
 
 
@@ -29,15 +29,14 @@ def _name(sha: Column) -> Column:
 
 
 def _without(named: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Named rows without those of ``dropped``."""
-    return named.join(stage(dropped.select("_row").distinct(), "dropped"), "_row", "left_anti").select(*named.columns)
+    """Named rows without those of ``dropped``, by the same shuffled join at every size."""
+    gone = stage(dropped.select("_row").distinct(), "dropped").hint("shuffle_merge")
+    return named.join(gone, "_row", "left_anti").select(*named.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject.  It learns from the labelled rows among them."""
-    model, named = fit(docs, table(spark, sf_dir, "labels")), _named(docs)
-    scores = quality_scores(named, model, id_col="_row").withColumnRenamed("doc_id", "_row")
-    return _without(named, scores.where("predicted = 0")).drop("_row")
+    return without_rejected(docs, fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
