@@ -136,6 +136,19 @@ def correct(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame |
     return correction_plan(spark, src, p, curves, targets).final
 
 
+def backtest_correct(spark: SparkSession, src: Sources, p: RunParams, runs, curves: DataFrame | None = None) -> DataFrame:
+    """D14 the correction for every (ship date, knowledge time) of ``runs`` in one job: ``knowledge_time`` and the 20 columns.
+
+    ``curves`` default to those that the weekly job would have had at the earliest knowledge time, so no run sees ahead.
+    """
+    from hazardline.operators.backtest import Runs, backtest_plan
+    ensure_utc(spark)
+    runs = Runs.of(runs)
+    if curves is None and runs.pairs:
+        curves = train(spark, src, p.with_(knowledge_time=runs.times[0]), literal_dates(spark, runs.dates))
+    return backtest_plan(src, p, runs, curves).final
+
+
 def run_training_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str) -> DataFrame:
     """D15 weekly training end to end: plan -> curves -> gates -> replace the curves of all requested dates in one commit.
 

@@ -75,11 +75,19 @@ def alive_spans(events: DataFrame, p: RunParams) -> DataFrame:
 def actuals(src: Sources, p: RunParams, targets: DataFrame, dates=None) -> DataFrame:
     """(ship_date, checkpoint, facility_id, freight_id, con, cor, coa, orders)."""
     spans = alive_spans(correction_events(src, p, targets, dates), p)
+    return live_totals(cell_deltas(spans, src), grid_bounds(p)[1])
+
+
+DELTAS = ["d_orders"] + [f"d_{m}" for m in MEASURES] + [f"d_{m}_n" for m in MEASURES]
+
+
+def cell_deltas(spans: DataFrame, src: Sources, run_keys=()) -> DataFrame:
+    """What changes in each (ship_date, facility, freight) at each hour: rows are bounded by cells x hours, not by orders."""
     edges = F.array(
         F.struct(F.col("start").alias("hour"), F.lit(1).alias("sign")),
         F.when(F.col("stop").isNotNull(), F.struct(F.col("stop").alias("hour"), F.lit(-1).alias("sign"))),
     )
-    d = spans.select("ship_date", "weekly_order_id",
+    d = spans.select(*run_keys, "ship_date", "weekly_order_id",
                      F.explode(F.filter(edges, lambda z: z.isNotNull())).alias("e"))
     # SURVEY Q8: all deliveries of the order count, whatever their ship date.
     d = d.join(delivery_measures(src), "weekly_order_id")
@@ -88,21 +96,21 @@ def actuals(src: Sources, p: RunParams, targets: DataFrame, dates=None) -> DataF
     for m in MEASURES:
         aggs += [F.sum(sign * F.coalesce(F.col(m), F.lit(0))).alias(f"d_{m}"),
                  F.sum(F.when(F.col(m).isNotNull(), sign).otherwise(0)).alias(f"d_{m}_n")]
-    per_hour = d.groupBy("ship_date", "facility_id", "freight_id", F.col("e.hour").alias("hour")).agg(*aggs)
-    w = Window.partitionBy("ship_date", "facility_id", "freight_id").orderBy("hour")
+    return d.groupBy(*run_keys, "ship_date", "facility_id", "freight_id", F.col("e.hour").alias("hour")).agg(*aggs)
+
+
+def live_totals(per_hour: DataFrame, hi, run_keys=()) -> DataFrame:
+    """The live totals of each cell at each checkpoint up to ``hi``, from its changes."""
+    w = Window.partitionBy(*run_keys, "ship_date", "facility_id", "freight_id").orderBy("hour")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    cols = ["d_orders"] + [f"d_{m}" for m in MEASURES] + [f"d_{m}_n" for m in MEASURES]
-    x = per_hour.select("ship_date", "facility_id", "freight_id", "hour",
+    x = per_hour.select(*run_keys, "ship_date", "facility_id", "freight_id", "hour", hi.alias("hi"),
                         F.lead("hour").over(w).alias("next_hour"),
-                        *[F.sum(c).over(run).alias(c[2:]) for c in cols])
-    _, hi = grid_bounds(p)
-    x = x.filter(F.col("orders") > 0).withColumn(
-        "upto", F.coalesce(add_hours("next_hour", -1), hi))
-    out = x.select("ship_date", "facility_id", "freight_id",
-                   F.explode(hour_seq("hour", "upto")).alias("checkpoint"),
-                   *[F.when(F.col(f"{m}_n") > 0, F.col(m)).cast("long").alias(m) for m in MEASURES],
-                   F.col("orders").cast("long").alias("orders"))
-    return out
+                        *[F.sum(c).over(run).alias(c[2:]) for c in DELTAS])
+    x = x.filter(F.col("orders") > 0).withColumn("upto", F.coalesce(add_hours("next_hour", -1), F.col("hi")))
+    return x.select(*run_keys, "ship_date", "facility_id", "freight_id",
+                    F.explode(hour_seq("hour", "upto")).alias("checkpoint"),
+                    *[F.when(F.col(f"{m}_n") > 0, F.col(m)).cast("long").alias(m) for m in MEASURES],
+                    F.col("orders").cast("long").alias("orders"))
 
 
 def actuals_bruteforce(src: Sources, p: RunParams, targets: DataFrame) -> DataFrame:

@@ -23,10 +23,12 @@ OUTPUT_COLUMNS = (
 )
 
 
-def corrected(pred: DataFrame, act: DataFrame) -> DataFrame:
-    """J10 predicted LEFT JOIN actuals, then Δ = last known actual/predicted, ± = actual or predicted·Δ."""
-    x = pred.join(act, ["ship_date", "checkpoint", "facility_id", "freight_id"], "left")
-    w = Window.partitionBy(*KEYS).orderBy("checkpoint").rowsBetween(Window.unboundedPreceding, 0)
+def corrected(pred: DataFrame, act: DataFrame, run_keys=()) -> DataFrame:
+    """J10 predicted LEFT JOIN actuals, then Δ = last known actual/predicted, ± = actual or predicted·Δ.
+
+    ``run_keys``: further columns that tell several runs for one ship date apart (a back-test's knowledge time)."""
+    x = pred.join(act, [*run_keys, "ship_date", "checkpoint", "facility_id", "freight_id"], "left")
+    w = Window.partitionBy(*run_keys, *KEYS).orderBy("checkpoint").rowsBetween(Window.unboundedPreceding, 0)
     for m in ("con", "cor", "coa"):
         p, a = F.col(f"predicted_{m}"), F.col(m)
         ratio = F.last(safe_ratio(a, p), ignorenulls=True).over(w)  # computed once per measure
@@ -38,13 +40,13 @@ def corrected(pred: DataFrame, act: DataFrame) -> DataFrame:
     return x
 
 
-def final_prediction(corr: DataFrame, freeze_rows: int = FREEZE_ROWS) -> DataFrame:
+def final_prediction(corr: DataFrame, freeze_rows: int = FREEZE_ROWS, run_keys=()) -> DataFrame:
     """W7 after finalization, repeat the value at finalization seen within the last 72 rows."""
-    w = Window.partitionBy(*KEYS).orderBy("checkpoint").rowsBetween(-freeze_rows, 0)
+    w = Window.partitionBy(*run_keys, *KEYS).orderBy("checkpoint").rowsBetween(-freeze_rows, 0)
     cp, fin = F.col("checkpoint"), F.col("finalization_timestamp")
     x = corr
     for m in ("con", "cor", "coa"):
         adj = F.col(f"adjusted_{m}")
         frozen = F.last(F.when(cp == fin, adj), ignorenulls=True).over(w)
         x = x.withColumn(f"adjusted_{m}", F.when(cp <= fin, adj).otherwise(frozen))
-    return x.select(*OUTPUT_COLUMNS)
+    return x.select(*run_keys, *OUTPUT_COLUMNS)

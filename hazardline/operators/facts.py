@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hazardline.functions.keys import tenure_correction
 from hazardline.functions.timefn import alignment_ts, diff_weeks, finalization_ts, trunc_hour
+from hazardline.operators.hot import join_one_per_key
 from hazardline.params import RunParams
 from hazardline.plans.dates import Calendar
 from hazardline.sources.tables import Sources
@@ -29,6 +30,14 @@ def first_order_dates(src: Sources, p: RunParams) -> DataFrame:
             .agg(F.min("start_date").cast("date").alias("first_start_date")))
 
 
+def with_first_start(rows: DataFrame, src: Sources, p: RunParams) -> DataFrame:
+    """J1 ``rows`` of orders with the first start date of their subscription, whatever share of them one subscription holds."""
+    side = (src.weekly_orders.filter(F.col("created_at") <= p.kt_col())
+            .groupBy("subscription_id")
+            .agg(F.min("start_date").cast("date").alias("first_start_date"), F.count(F.lit(1)).alias("_orders")))
+    return join_one_per_key(rows, side, "subscription_id", "_orders", F.col("weekly_order_id"))
+
+
 def zone_times(pairs: DataFrame, src: Sources) -> DataFrame:
     """(ship_date, facility_id) -> zone, alignment and finalization instants.
 
@@ -70,7 +79,7 @@ def training_facts(src: Sources, p: RunParams, calendar: Calendar) -> DataFrame:
     wo = (src.weekly_orders.filter(known_or_null("created_at", kt))
           .select(F.col("id").alias("weekly_order_id"), "subscription_id",
                   F.col("created_at").alias("birth_time"), "start_date"))
-    x = (known_dimensions(dl, src, p).join(wo, "weekly_order_id").join(first_order_dates(src, p), "subscription_id")
+    x = (with_first_start(known_dimensions(dl, src, p).join(wo, "weekly_order_id"), src, p)
          .withColumnRenamed("ship_date", "source_date")
          .join(F.broadcast(calendar.windows(dl.sparkSession)), "source_date"))
     return x.select(
@@ -112,7 +121,7 @@ def delivery_ordinals(src: Sources, p: RunParams, dates) -> DataFrame:
     wo = wo.select(F.col("id").alias("weekly_order_id"), "subscription_id", "start_date",
                    F.col("created_at").alias("birth_time"))
     dl = dl.join(zone_calendar(src, dates), ["ship_date", "facility_id"])
-    x = dl.join(wo, "weekly_order_id").join(first_order_dates(src, p), "subscription_id")
+    x = with_first_start(dl.join(wo, "weekly_order_id"), src, p)
     return x.select(
         "ship_date", "weekly_order_id", "facility_id", "freight_id", "plan_id",
         "number_of_meals", "is_first_for_subscription", tenure_correction(user_tenure()).alias("tenure"),

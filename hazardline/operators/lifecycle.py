@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hazardline.functions.keys import alive_flag, change_set_variant
 from hazardline.functions.timefn import diff_hours
-from hazardline.operators.facts import first_order_dates, known_dimensions, known_or_null, user_tenure, with_zone_times, zone_calendar
+from hazardline.operators.facts import known_dimensions, known_or_null, user_tenure, with_first_start, with_zone_times, zone_calendar
 from hazardline.params import LEVELS, RunParams
 from hazardline.plans.dates import Calendar
 from hazardline.sources.tables import Sources
@@ -168,7 +168,7 @@ def lifespans(lives: DataFrame, src: Sources, p: RunParams) -> DataFrame:
         cell = ["weekly_order_id", "target", "lifespan", "facility_id", *["freight_id"] * freight, *["plan_id"] * plan]
         return F.row_number().over(Window.partitionBy(*cell).orderBy("delivery_id")) == 1
     x = x.withColumns({f"first_{i}": first(*level) for i, level in enumerate(LEVELS)})
-    x = x.join(first_order_dates(src, p), "subscription_id")
+    x = with_first_start(x, src, p)
     return x.select(
         "target", "source_date", "weekly_order_id", "facility_id", "freight_id", "plan_id", user_tenure().alias("user_tenure"),
         "lifespan", F.col("death_time").isNotNull().alias("died_bool"),

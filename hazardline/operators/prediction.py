@@ -28,12 +28,12 @@ def birth_cohorts(ordinals: DataFrame) -> DataFrame:
             .withColumn("grp", group_key("facility_id", "freight_id", "plan_id", "tenure")))
 
 
-def cohort_weights(cohorts: DataFrame) -> DataFrame:
+def cohort_weights(cohorts: DataFrame, run_keys=()) -> DataFrame:
     """Collapse the first flag and meal count into the four linear weights of A8."""
     first = F.col("is_first_for_subscription")
     om = F.col("orders") * F.col("number_of_meals")
     return (cohorts.filter(F.col("grp").isNotNull())
-            .groupBy("ship_date", "birth_hour", "facility_id", "freight_id", "plan_id", "tenure",
+            .groupBy(*run_keys, "ship_date", "birth_hour", "facility_id", "freight_id", "plan_id", "tenure",
                      "alignment_timestamp", "finalization_timestamp")
             .agg(F.sum(F.when(first, om).otherwise(F.lit(0))).alias("w_con"),
                  F.sum(F.when(~first, om).otherwise(F.lit(0))).alias("w_cor"),
@@ -41,31 +41,33 @@ def cohort_weights(cohorts: DataFrame) -> DataFrame:
                  F.sum("orders").alias("w_orders")))
 
 
-def choose_curves(weights: DataFrame, curves: DataFrame) -> DataFrame:
-    """The curve group each cohort uses (own, else freight-0 fallback, else dropped)."""
-    avail = curves.filter(F.col("timeline") == 0).select("ship_date", "grp")  # one row of every curve
-    own = avail.select("ship_date", "grp", F.col("grp").alias("own_grp"))
-    fb = avail.select("ship_date", F.col("grp").alias("fallback_grp"), F.col("grp").alias("fb_grp"))
+def choose_curves(weights: DataFrame, curves: DataFrame, by=("ship_date",)) -> DataFrame:
+    """The curve group each cohort uses (own, else freight-0 fallback, else dropped); ``by`` tells sets of curves apart."""
+    avail = curves.filter(F.col("timeline") == 0).select(*by, "grp")  # one row of every curve
+    own = avail.select(*by, "grp", F.col("grp").alias("own_grp"))
+    fb = avail.select(*by, F.col("grp").alias("fallback_grp"), F.col("grp").alias("fb_grp"))
     x = (weights.withColumn("grp", group_key("facility_id", "freight_id", "plan_id", "tenure"))
          .withColumn("fallback_grp", fallback_group_key("facility_id", "plan_id", "tenure")))
-    x = x.join(own, ["ship_date", "grp"], "left").join(fb, ["ship_date", "fallback_grp"], "left")
+    x = x.join(own, [*by, "grp"], "left").join(fb, [*by, "fallback_grp"], "left")
     return (x.withColumn("curve_grp", F.coalesce(F.col("own_grp"), F.col("fb_grp")))
             .filter(F.col("curve_grp").isNotNull())
             .drop("own_grp", "fb_grp"))
 
 
-def predicted(cohorts: DataFrame, curves: DataFrame) -> DataFrame:
+def predicted(cohorts: DataFrame, curves: DataFrame, run_keys=()) -> DataFrame:
     """D10 -> (ship_date, checkpoint, facility_id, freight_id, alignment, finalization, 4 predictions).
 
-    checkpoint = birth_hour + (t + 1)h while the bound uses birth_hour + t (SURVEY Q3, kept).
+    checkpoint = birth_hour + (t + 1)h while the bound uses birth_hour + t (SURVEY Q3, kept).  Curves that have the
+    ``run_keys`` too are each run's own; others serve all runs for their ship date.
     """
-    x = choose_curves(cohort_weights(cohorts), curves)
-    c = curves.select("ship_date", F.col("grp").alias("curve_grp"), "timeline", "survival_rate")
-    j = (x.join(c, ["ship_date", "curve_grp"])
+    by = ["ship_date", *[k for k in run_keys if k in curves.columns]]
+    x = choose_curves(cohort_weights(cohorts, run_keys), curves, by)
+    c = curves.select(*by, F.col("grp").alias("curve_grp"), "timeline", "survival_rate")
+    j = (x.join(c, [*by, "curve_grp"])
          .filter(add_hours("birth_hour", F.col("timeline")) <= F.col("alignment_timestamp"))
          .withColumn("checkpoint", add_hours("birth_hour", F.col("timeline") + 1)))
     r = F.col("survival_rate")
-    return (j.groupBy("ship_date", "alignment_timestamp", "finalization_timestamp", "checkpoint",
+    return (j.groupBy(*run_keys, "ship_date", "alignment_timestamp", "finalization_timestamp", "checkpoint",
                       "facility_id", "freight_id")
             .agg(F.sum(F.col("w_con") * r).alias("predicted_con"),
                  F.sum(F.col("w_cor") * r).alias("predicted_cor"),

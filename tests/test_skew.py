@@ -1,4 +1,4 @@
-"""A hot subscription (most of all orders): skew-join splitting must not change results."""
+"""A hot subscription (most of all orders): its rows are dealt to many tasks, and splitting does not change results."""
 
 import datetime as dt
 
@@ -50,3 +50,33 @@ def test_skew_split_keeps_results(spark):
     firsts = dict(split[0])
     assert firsts[7] == d("2019-07-01")
     assert len(split[1]) > 0
+
+
+def test_hot_subscription_is_dealt_to_many_tasks(spark):
+    """Three quarters of the rows have one key; after the join no task has more than a small part of them."""
+    from pyspark.sql import functions as F
+    from hazardline.operators.hot import join_one_per_key
+    rows = spark.range(20000).select(F.col("id"), F.when(F.col("id") % 4 != 0, F.lit(7)).when(F.col("id") % 8 == 0, F.col("id")).alias("k"))
+    side = rows.where("k IS NOT NULL").groupBy("k").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        joined = join_one_per_key(rows, side, "k", "n", F.col("id"), share=100)
+        assert sorted(joined.columns) == ["id", "k", "least"]
+        per_task = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+        plain = rows.join(side.drop("n"), "k")
+        assert sorted(map(tuple, joined.select("id", "k", "least").collect())) == sorted(map(tuple, plain.select("id", "k", "least").collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(per_task) == 17500 and len(per_task) > 24 and max(per_task) < 17500 / 8
+
+
+def test_hot_join_of_nothing(spark):
+    from pyspark.sql import functions as F
+    from hazardline.operators.hot import join_one_per_key
+    side = spark.createDataFrame([], "k long, v long, n long")
+    assert join_one_per_key(spark.range(3).withColumnRenamed("id", "k"), side, "k", "n", F.col("k")).count() == 0
