@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html as htmllib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +25,69 @@ SAMPLE = 3000            # labelled texts per language for the text model, in or
 STRENGTH = 20.0          # pages' worth of evidence that a level takes from the level above it
 TEXT_WEIGHT = 0.2        # trigrams of running text are far from independent
 
-_DROP = re.compile(r"<!--.*?-->|<(script|style|nav|aside|header|footer|select)\b.*?</\1\s*>|<(\w+)[^>]*\bclass=\"(?:ad|ads|nav|menu)\"[^>]*>.*?</\2\s*>", re.S | re.I)
+DROPPED = frozenset(("script", "style", "nav", "aside", "header", "footer", "select"))
+_OPEN = re.compile(r"<(?:(!--)|(\w+))")
+_CLOSE = re.compile(r"</(\w+)\s*>")
+_CLASS = re.compile(r"\bclass=\"(?:ad|ads|nav|menu)\"", re.I)
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
 _HOST = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", re.I)
 
 
+def without_blocks(page: str) -> str:
+    """A page without comments, without the elements of ``DROPPED`` and without those of an advertising or navigation class, each up to
+    the next closing tag of its name; what is never closed stays.
+
+    Time is linear in the page however broken it is: closing tags and classes are listed once, and a search that reached
+    the end of the page is not begun again.
+    """
+    closes: dict[str, list[tuple[int, int]]] = {}
+    for m in _CLOSE.finditer(page):
+        closes.setdefault(m[1].lower(), []).append(m.span())
+    classes = [m.span() for m in _CLASS.finditer(page)]
+    out, done, at, gt, nth, comments = [], 0, 0, -1, 0, True
+    while m := _OPEN.search(page, at):
+        at, end = m.end(), -1
+        if m[1]:
+            i = page.find("-->", at) if comments else -1
+            comments, end = i >= 0, i + 3 if i >= 0 else -1
+        else:
+            name, start = m[2].lower(), at
+            drop = name in DROPPED
+            if not drop and name in closes:
+                while nth < len(classes) and classes[nth][0] < at:
+                    nth += 1
+                if nth < len(classes):
+                    if gt < at:
+                        gt = page.find(">", at)
+                        gt = len(page) + 1 if gt < 0 else gt
+                    drop, start = classes[nth][1] <= gt < len(page), gt
+            if drop and name in closes:
+                k = bisect_left(closes[name], (start, 0))
+                end = closes[name][k][1] if k < len(closes[name]) else -1
+        if end >= 0:
+            out.append(page[done:m.start()])
+            done = at = end
+    return " ".join([*out, page[done:]])
+
+
 def visible_text(page: str) -> str:
     """A page without markup, scripts, navigation and advertisements."""
-    return htmllib.unescape(_TAG.sub(" ", _DROP.sub(" ", page)))
+    page = without_blocks(page)
+    last = page.rfind(">") + 1      # beyond it no tag ends, so none is searched
+    return htmllib.unescape(_TAG.sub(" ", page[:last]) + page[last:])
+
+
+def declared_language(page: str) -> str:
+    """The language that the first html tag with one declares; empty if there is none."""
+    at = 0
+    while m := _HTML.search(page, at):
+        at = page.find(">", m.end())
+        at = len(page) if at < 0 else at
+        if found := _LANG.findall(page[m.end():at]):
+            return found[-1].lower()
+    return ""
 
 
 def address(url: str) -> tuple[str, str, str]:
@@ -100,11 +155,10 @@ def _evidence(langs: list[str], logp: np.ndarray):
             rows = []
             for url, page in zip(b.column("url").to_pylist(), b.column("html").to_pylist()):
                 page = page or ""
-                m = _DECLARED.search(page)
                 g = trigrams(np.frombuffer(visible_text(page).encode("utf-8", "replace"), np.uint8))
                 like = TEXT_WEIGHT * logp[:, g].sum(1) if len(g) else np.zeros(len(langs))
                 like = like - np.logaddexp.reduce(like)
-                rows.append((*address(url), m[1].lower() if m else "", like.tolist()))
+                rows.append((*address(url), declared_language(page), like.tolist()))
             cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [b.column("page_id"), *[pa.array(c, pa.string()) for c in cols[:4]], pa.array(cols[4], pa.list_(pa.float64()))],
