@@ -10,7 +10,7 @@ text with ASCII case folded and white space runs as one space).
 2. CGK: a random walk copies each byte zero or more times, so that few edits become few changed places.  Each
    window and item is embedded with ``WALKS`` seeds; from each embedding ``KEYS`` keys of sampled places are
    taken.  A window is a candidate of an item if any key agrees.
-3. Candidates are verified by banded edit distance against the text around the window (free ends).
+3. Candidates are verified by edit distance against the text around the window (free ends).
 """
 
 from __future__ import annotations
@@ -25,9 +25,9 @@ from hazardline.llm.textnp import LOWER, blocks, mix, utf8
 
 PIECE = 8
 MAX_EDIT = 0.1
-#: Walks, keys per walk and places per key.  Measured by tests: two walks of strings 10 % apart agree in over 70 %
-#: of places, so a key of 5 places hits with probability over 0.16 and 128 of them, were they independent, would hardly miss.
-WALKS, KEYS, PLACES = 8, 16, 5
+#: Walks and keys per walk.
+WALKS, KEYS = 8, 16
+EMBED_CELLS = 1 << 24    # bytes of embeddings made together
 ITEMS_AT_ONCE = 20_000   # items sent to the tasks together; more are taken in turns
 
 
@@ -69,8 +69,7 @@ class Items:
         self.piece = np.clip(self.length // (self.edits + 1), 1, PIECE)
         self.need = np.maximum(1, self.length // self.piece - self.edits)
         self.tables = [self._table(p) for p in sorted({PIECE, *self.piece[self.length > 0].tolist()})]
-        self.keys = np.concatenate([keys(self.text[i:i + 4096], self.length[i:i + 4096]) for i in range(0, len(ids), 4096)]) \
-            if ids else np.zeros((0, WALKS * KEYS), np.uint64)
+        self.keys = keys(self.text, self.length, self.edits)
 
     def _table(self, piece: int) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(piece, keys in order, their items, their places, slots that have a key) of the items with such pieces."""
@@ -102,10 +101,16 @@ class Items:
         ok = last < len(diag)
         last = np.minimum(last, max(0, len(diag) - 1))
         ok &= (group[last] == group) & (diag[last] - diag <= 2 * self.edits[item]) if len(diag) else ok
+        # all hits between the two are part of the passage
+        within = np.zeros(len(diag) + 1, np.int64)
+        np.add.at(within, np.flatnonzero(ok), 1)
+        np.add.at(within, last[ok] + 1, -1)
+        ok = np.cumsum(within)[:-1] > 0
         text, item, diag = text[ok], item[ok], diag[ok]
-        # one window per text, item and stretch of so many diagonals; a whole item in one short piece is found once
+        # several windows per passage: insertions and deletions put its pieces on several diagonals, and only from about the
+        # right one do the walks start together.  A whole item in one short piece is found once.
         short = self.piece[item] < PIECE
-        stretch = diag // np.where(short, PIECE, np.maximum(1, self.edits[item] // 2))
+        stretch = diag // np.where(short, PIECE, np.maximum(1, self.edits[item] // 6))
         stretch[short & (self.edits[item] == 0)] = 0
         new = np.ones(len(diag), bool)
         new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (stretch[1:] != stretch[:-1])
@@ -126,6 +131,12 @@ class Items:
         return text, item[which], pos - at[which], at[which]
 
 
+def places(edits: np.ndarray) -> np.ndarray:
+    """Places per key for items with so many edits: the more edits, the sooner two walks part, so the fewer places must agree for
+    one of the WALKS * KEYS keys to hit.  Tests hold every cell of lengths and edits to a recall of 0.95, insertions and deletions too."""
+    return np.select([edits <= 4, edits <= 10, edits <= 20], [5, 4, 3], 2)
+
+
 def embed(rows: np.ndarray, size: np.ndarray, walk: int) -> np.ndarray:
     """CGK embeddings of byte rows [n, width] (lengths ``size``): [n, 3 * width], 0 once a row is used up.
 
@@ -143,8 +154,27 @@ def embed(rows: np.ndarray, size: np.ndarray, walk: int) -> np.ndarray:
     return out.T
 
 
-def keys(texts: list[bytes], like: np.ndarray) -> np.ndarray:
-    """LSH keys [n, WALKS * KEYS] of byte strings; places are sampled among those that ``like`` bytes fill."""
+def keys(texts: list[bytes], like: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    """LSH keys [n, WALKS * KEYS] of byte strings; places are sampled among those that ``like`` bytes fill, as many as ``edits`` ask.
+
+    Strings are embedded together with others of about their length, and at most ``EMBED_CELLS`` bytes of embeddings at a
+    time, so that one long item makes neither the short ones nor the memory grow.
+    """
+    out = np.empty((len(texts), WALKS * KEYS), np.uint64)
+    width = np.maximum(like, [len(t) for t in texts])
+    order = np.argsort(width, kind="stable")
+    lo = 0
+    while lo < len(order):
+        hi = lo + 1
+        while hi < len(order) and width[order[hi]] <= 2 * width[order[lo]] and (hi - lo) * 3 * width[order[hi]] < EMBED_CELLS:
+            hi += 1
+        part = order[lo:hi]
+        out[part] = _keys([texts[i] for i in part.tolist()], like[part], places(edits[part]))
+        lo = hi
+    return out
+
+
+def _keys(texts: list[bytes], like: np.ndarray, most: np.ndarray) -> np.ndarray:
     size = np.array([len(t) for t in texts], np.int64)
     rows = np.zeros((len(texts), max(int(like.max()), int(size.max()))), np.uint8)
     for r, t in enumerate(texts):
@@ -152,11 +182,11 @@ def keys(texts: list[bytes], like: np.ndarray) -> np.ndarray:
     out, idx = np.empty((len(texts), WALKS * KEYS), np.uint64), np.arange(len(texts))
     for w in range(WALKS):
         e = embed(rows, size, w)
-        share = np.random.RandomState(5000 + w).random_sample((KEYS, PLACES))
+        share = np.random.RandomState(5000 + w).random_sample((KEYS, 5))
         for k in range(KEYS):
             h = np.full(len(rows), w * KEYS + k + 1, np.uint64)
-            for f in share[k]:
-                h = mix(h * np.uint64(0x100000001B3) + e[idx, (f * 2 * like).astype(np.int64)].astype(np.uint64))
+            for j, f in enumerate(share[k]):
+                h = np.where(j < most, mix(h * np.uint64(0x100000001B3) + e[idx, (f * f * 2 * like).astype(np.int64)].astype(np.uint64)), h)
             out[:, w * KEYS + k] = h
     return out
 
@@ -181,27 +211,31 @@ def _scan(items: Items):
     def run(batches):
         for b in batches:
             data, offs = utf8(b.column("text"))
-            found, windows, wanted, context = [], [], [], []
+            found, windows, spot, spots, candidates = [], [], [], [], set()
             for i, j in blocks(offs):
                 d, o = normalised(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i])
                 for t, it, s in zip(*(x.tolist() for x in items.windows(d, o))):
                     m, e, lo, hi = int(items.length[it]), int(items.edits[it]), int(o[t]), int(o[t + 1])
                     x = max(s, lo)
                     windows.append(d[x:min(x + m, hi)].tobytes())
-                    context.append(d[max(lo, s - 2 * e - PIECE):min(hi, s + m + 2 * e + PIECE)].tobytes())
-                    wanted.append((i + t, it))
+                    # windows next to each other share one place to verify: the text around all of them
+                    if not spots or spots[-1][:2] != [i + t, it] or s - spots[-1][2] > max(1, e // 2):
+                        spots.append([i + t, it, s, s, b""])
+                    p = spots[-1]
+                    p[3], p[4] = s, d[max(lo, p[2] - 2 * e - PIECE):min(hi, s + m + 2 * e + PIECE)].tobytes()
+                    spot.append(len(spots) - 1)
             for at in range(0, len(windows), 4096):
-                it = np.array([w[1] for w in wanted[at:at + 4096]])
+                it = np.array([spots[p][1] for p in spot[at:at + 4096]])
                 hit = items.piece[it] < PIECE
                 far = np.flatnonzero(~hit)
                 if len(far):
-                    hit[far] = (keys([windows[at + w] for w in far.tolist()], items.length[it[far]]) == items.keys[it[far]]).any(1)
-                for r in (np.flatnonzero(hit) + at).tolist():
-                    row, k = wanted[r]
-                    most = int(items.edits[k])
-                    dist = 0 if items.text[k] in context[r] else edit_distance_inside(items.text[k], context[r], most)
-                    if dist <= most:
-                        found.append((row, items.ids[k], dist))
+                    hit[far] = (keys([windows[at + w] for w in far.tolist()], items.length[it[far]], items.edits[it[far]]) == items.keys[it[far]]).any(1)
+                candidates.update(spot[at + r] for r in np.flatnonzero(hit).tolist())
+            for row, k, _, _, context in (spots[c] for c in sorted(candidates)):
+                most = int(items.edits[k])
+                dist = 0 if items.text[k] in context else edit_distance_inside(items.text[k], context, most)
+                if dist <= most:
+                    found.append((row, items.ids[k], dist))
             best: dict = {}
             for row, item_id, dist in found:
                 best[row, item_id] = min(dist, best.get((row, item_id), dist))
