@@ -110,7 +110,7 @@ class Items:
         # several windows per passage: insertions and deletions put its pieces on several diagonals, and only from about the
         # right one do the walks start together.  A whole item in one short piece is found once.
         short = self.piece[item] < PIECE
-        stretch = diag // np.where(short, PIECE, np.maximum(1, self.edits[item] // 6))
+        stretch = diag // np.where(short, PIECE, np.maximum(1, self.edits[item] // 3))
         stretch[short & (self.edits[item] == 0)] = 0
         new = np.ones(len(diag), bool)
         new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (stretch[1:] != stretch[:-1])
@@ -134,7 +134,7 @@ class Items:
 def places(edits: np.ndarray) -> np.ndarray:
     """Places per key for items with so many edits: the more edits, the sooner two walks part, so the fewer places must agree for
     one of the WALKS * KEYS keys to hit.  Tests hold every cell of lengths and edits to a recall of 0.95, insertions and deletions too."""
-    return np.select([edits <= 4, edits <= 10, edits <= 20], [5, 4, 3], 2)
+    return np.select([edits <= 4, edits <= 10, edits <= 20], [8, 6, 5], 4)
 
 
 def embed(rows: np.ndarray, size: np.ndarray, walk: int) -> np.ndarray:
@@ -166,7 +166,7 @@ def keys(texts: list[bytes], like: np.ndarray, edits: np.ndarray) -> np.ndarray:
     lo = 0
     while lo < len(order):
         hi = lo + 1
-        while hi < len(order) and width[order[hi]] <= 2 * width[order[lo]] and (hi - lo) * 3 * width[order[hi]] < EMBED_CELLS:
+        while hi < len(order) and width[order[hi]] <= 4 * width[order[lo]] and (hi - lo) * 3 * width[order[hi]] < EMBED_CELLS:
             hi += 1
         part = order[lo:hi]
         out[part] = _keys([texts[i] for i in part.tolist()], like[part], places(edits[part]))
@@ -182,7 +182,7 @@ def _keys(texts: list[bytes], like: np.ndarray, most: np.ndarray) -> np.ndarray:
     out, idx = np.empty((len(texts), WALKS * KEYS), np.uint64), np.arange(len(texts))
     for w in range(WALKS):
         e = embed(rows, size, w)
-        share = np.random.RandomState(5000 + w).random_sample((KEYS, 5))
+        share = np.random.RandomState(5000 + w).random_sample((KEYS, 8))
         for k in range(KEYS):
             h = np.full(len(rows), w * KEYS + k + 1, np.uint64)
             for j, f in enumerate(share[k]):
