@@ -23,7 +23,7 @@ MODES = ("weekly", "hourly")
 
 
 def run_event(spark: SparkSession, event: dict, source: str, survival: str, prediction: str | None = None,
-              sync: dict[str, str] | None = None, **params) -> DataFrame:
+              sync: dict[str, str] | None = None, packed: bool = False, **params) -> DataFrame:
     """Run what an event asks for: {"mode": "weekly" | "hourly", "ship_dates": [...], "knowledge_time": ...}, the last
     two optional.  A missing or unknown mode raises.  Returns the stored table."""
     mode = event.get("mode")
@@ -35,7 +35,7 @@ def run_event(spark: SparkSession, event: dict, source: str, survival: str, pred
     p = RunParams(knowledge_time=event.get("knowledge_time"), ship_dates=tuple(event.get("ship_dates") or ()) or None, **params)
     src = Sources.from_parquet(spark, source, sync_tables=sync)
     if mode == "weekly":
-        return jobs.run_training_job(spark, src, p, survival)
+        return jobs.run_training_job(spark, src, p, survival, packed)
     if not prediction:
         raise ValueError("hourly needs a prediction table")
     return jobs.run_correction_job(spark, src, p, survival, prediction)
@@ -46,6 +46,7 @@ def _arguments() -> argparse.ArgumentParser:
     a.add_argument("mode")
     a.add_argument("--source", required=True, help="folder with the operational tables")
     a.add_argument("--survival", required=True, help="folder of the curve table")
+    a.add_argument("--packed", action="store_true", help="a new curve table gets one row per curve (weekly)")
     a.add_argument("--prediction", help="folder of the prediction table (hourly)")
     a.add_argument("--ship-dates", nargs="*", default=[])
     a.add_argument("--knowledge-time", help="ISO time with offset, or CURRENT_TIMESTAMP")
@@ -59,4 +60,4 @@ def run(spark: SparkSession, argv: list[str]) -> DataFrame:
     x = _arguments().parse_args(argv)
     event = {"mode": x.mode, "ship_dates": x.ship_dates, "knowledge_time": x.knowledge_time}
     return run_event(spark, event, x.source, x.survival, x.prediction,
-                     dict(pair.rsplit("=", 1) for pair in x.sync), training_weeks=x.training_weeks)
+                     dict(pair.rsplit("=", 1) for pair in x.sync), packed=x.packed, training_weeks=x.training_weeks)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hazardline.operators.facts import training_facts
 from hazardline.operators.lifecycle import lifespans, per_target, training_deaths, training_lives
-from hazardline.operators.survival import kaplan_meier
+from hazardline.operators.survival import kaplan_meier, packed_kaplan_meier
 from hazardline.operators.training import training_counts
 from hazardline.params import RunParams
 from hazardline.plans.dates import Calendar, literal_dates, target_dates, training_windows
@@ -34,6 +34,7 @@ class TrainingPlan:
     lives: DataFrame
     training: DataFrame
     curves: DataFrame
+    packed: DataFrame
 
     # The intermediate tables per target date, which the training itself never builds:
 
@@ -65,8 +66,8 @@ def training_plan(spark: SparkSession, src: Sources, p: RunParams, targets: Data
     ts = training_counts(lives, calendar)
     if observe is not None:
         ts = ts.observe(observe, F.collect_set(F.col("ship_date").cast("string")).alias("dates"))
-    curves = kaplan_meier(ts, p.min_records, p.horizon)
-    return TrainingPlan(src, p, targets, calendar, lives, ts, curves)
+    return TrainingPlan(src, p, targets, calendar, lives, ts, kaplan_meier(ts, p.min_records, p.horizon),
+                        packed_kaplan_meier(ts, p.min_records, p.horizon))
 
 
 def train(spark: SparkSession, src: Sources, p: RunParams, targets: DataFrame | None = None) -> DataFrame:
@@ -109,7 +110,7 @@ class CorrectionPlan:
 
 def correction_plan(spark: SparkSession, src: Sources, p: RunParams, curves: DataFrame | None = None,
                     targets: DataFrame | None = None) -> CorrectionPlan:
-    """The correction for every target date; ``curves`` default to training the same dates."""
+    """The correction for every target date; ``curves`` (long or packed) default to training the same dates."""
     from hazardline.operators.actuals import actuals
     from hazardline.operators.correction import corrected, final_prediction
     from hazardline.operators.facts import delivery_ordinals
@@ -118,7 +119,7 @@ def correction_plan(spark: SparkSession, src: Sources, p: RunParams, curves: Dat
     dates = requested_dates(targets if targets is not None else target_dates(spark, src, p, "correct"))
     targets = literal_dates(spark, dates)
     if curves is None:
-        curves = train(spark, src, p, targets)
+        curves = training_plan(spark, src, p, targets).packed
     elif dates:
         curves = curves.filter(F.col("ship_date").isin(dates))  # the other dates' folders are not read
     ordinals = delivery_ordinals(src, p, dates)
@@ -145,23 +146,26 @@ def backtest_correct(spark: SparkSession, src: Sources, p: RunParams, runs, curv
     ensure_utc(spark)
     runs = Runs.of(runs)
     if curves is None and runs.pairs:
-        curves = train(spark, src, p.with_(knowledge_time=runs.times[0]), literal_dates(spark, runs.dates))
+        curves = training_plan(spark, src, p.with_(knowledge_time=runs.times[0]), literal_dates(spark, runs.dates)).packed
     return backtest_plan(src, p, runs, curves).final
 
 
-def run_training_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str) -> DataFrame:
+def run_training_job(spark: SparkSession, src: Sources, p: RunParams, survival_path: str, packed: bool = False) -> DataFrame:
     """D15 weekly training end to end: plan -> curves -> gates -> replace the curves of all requested dates in one commit.
 
+    ``packed`` stores one row per curve (grp, rates, ship_date) instead of one per timeline point: the hourly job then reads a
+    row where it read 650, and the list of curves without their rates.
+
     The curves are computed once, into data folders that no reader sees yet; the gates look at what that one job wrote
     and observed, so they cost no further job.  A requested date without training rows or without curves fails the job
     and nothing is replaced.  Returns the stored table.
     """
     table = SnapshotTable(spark, survival_path)
-    table.create(sinks.SURVIVAL_SCHEMA, "ship_date")
+    table.create(sinks.PACKED_SCHEMA if packed else sinks.SURVIVAL_SCHEMA, "ship_date")
     seen = Observation()
     plan = training_plan(spark, src, p, observe=seen)
     dates = requested_dates(plan.targets)
-    staged = table.stage(sinks.survival_rows(plan.curves))
+    staged = table.stage(sinks.packed_rows(plan.packed) if packed else sinks.survival_rows(plan.curves))
     # with no curve at all the observed node may have been optimised away
     trained = set(seen.get["dates"]) if staged.values else set()
     try:
@@ -181,9 +185,12 @@ def gate_dates(what: str, dates, have) -> None:
 
 
 def stored_curves(spark: SparkSession, survival_path: str) -> DataFrame:
-    """Curves as the correction reads them back from the survival table (rates in double); a plain parquet folder will do."""
+    """Curves as the correction reads them back from the survival table (rates in double), long or packed as they are stored; a
+    plain parquet folder will do."""
     table = SnapshotTable(spark, survival_path)
     rows = table.read() if table.exists() else spark.read.parquet(survival_path)
+    if "rates" in rows.columns:
+        return rows.select("ship_date", "grp", F.col("rates").cast("array<double>").alias("rates"))
     return rows.select("ship_date", "grp", "timeline", F.col("survival_rate").cast("double").alias("survival_rate"))
 
 

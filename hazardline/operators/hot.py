@@ -17,17 +17,17 @@ HOT_SHARE = 1000
 def join_one_per_key(rows: DataFrame, side: DataFrame, key: str, weight: str, spread: Column, share: int = HOT_SHARE) -> DataFrame:
     """``rows`` inner-joined to ``side``, which has one row per ``key`` and in ``weight`` the (about) number of its rows.
 
-    Nothing comes to the driver: the total is a scalar subquery.  What is broadcast are the hot keys, fewer than ``share``
-    whatever the data; the repeated rows of ``side`` are fewer than 2 * ``share``.  ``weight`` is not kept.
+    The total and the hot keys with their salts are scalar subqueries, the latter a map of fewer than ``share`` entries whatever
+    the data; so ``rows`` is joined once and nothing is broadcast.  The repeated rows of ``side`` are fewer than 2 * ``share``.
+    ``weight`` is not kept.
     A null key joins with nothing; an empty ``side`` gives an empty result.
     """
     total = side.agg(F.sum(weight)).scalar()
     is_hot = F.col(weight) * F.lit(share) > total
     salts = F.ceil(F.col(weight) * F.lit(share) / total).cast("int")
-    hot = F.broadcast(side.where(is_hot).select(F.col(key).alias("_hot"), salts.alias("_salts")))
-    salted = (rows.join(hot, F.col(key) == F.col("_hot"), "left")
-              .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0)))
-              .drop("_hot", "_salts"))
+    hot = side.where(is_hot & F.col(key).isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), salts)))).scalar()
+    salt = F.pmod(F.xxhash64(spread), F.try_element_at(hot, F.col(key))).cast("int")
+    salted = rows.withColumn("_salt", F.coalesce(salt, F.lit(0)))
     repeated = (side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(is_hot, salts - 1).otherwise(F.lit(0)))))
                 .drop(weight))
     return salted.join(repeated, [key, "_salt"]).drop("_salt")

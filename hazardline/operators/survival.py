@@ -1,4 +1,4 @@
-"""A11 / D6 weighted Kaplan-Meier curves, D7/J12 long <-> wide.
+"""A11 / D6 weighted Kaplan-Meier curves, as long rows or as one row per curve.
 
 Per (ship_date, grp), with lifespans t and weights w:
   d_t = sum w*died, m_t = sum w, n_t = sum_{s>=t} m_s (censored at t are at risk),
@@ -20,7 +20,24 @@ from hazardline.params import HORIZON_HOURS, MIN_RECORDS
 
 def kaplan_meier(training: DataFrame, min_records: int = MIN_RECORDS, horizon: int = HORIZON_HOURS,
                  keys=("ship_date", "grp")) -> DataFrame:
-    keys = list(keys)
+    """The curves as rows (keys, timeline, survival_rate)."""
+    y = _segments(training, min_records, horizon, list(keys))
+    return y.select(*keys, F.explode(F.sequence(F.col("g.lo"), F.col("g.hi"))).alias("timeline"),
+                    F.col("g.v").alias("survival_rate")).withColumn("timeline", F.col("timeline").cast("int"))
+
+
+def packed_kaplan_meier(training: DataFrame, min_records: int = MIN_RECORDS, horizon: int = HORIZON_HOURS,
+                        keys=("ship_date", "grp")) -> DataFrame:
+    """The same curves as one row each: (keys, rates), ``rates[t]`` being the rate at timeline t.
+
+    The segments of a curve (at most horizon + 2) are already on one partition, so packing them needs no exchange."""
+    runs = F.array_sort(F.collect_list("g"))
+    return (_segments(training, min_records, horizon, list(keys)).groupBy(*keys)
+            .agg(F.flatten(F.transform(runs, lambda g: F.array_repeat(g["v"], (g["hi"] - g["lo"] + 1).cast("int")))).alias("rates")))
+
+
+def _segments(training: DataFrame, min_records: int, horizon: int, keys: list[str]) -> DataFrame:
+    """(keys, g): the stretches ``g.lo`` .. ``g.hi`` of the timeline on which a curve has the rate ``g.v``."""
     t = F.least(F.col("lifespan"), F.lit(horizon)).alias("t")
     pts = (training.filter(F.col("grp").isNotNull())  # P13
            .groupBy(*keys, t)
@@ -47,19 +64,32 @@ def kaplan_meier(training: DataFrame, min_records: int = MIN_RECORDS, horizon: i
                  F.least(F.coalesce(F.col("nxt") - 1, last), last).alias("hi"),
                  F.col("s").alias("v")),
     )
-    y = x.select(*keys, F.explode(F.filter(segs, lambda z: z.isNotNull() & (z["lo"] <= z["hi"]))).alias("g"))
-    return y.select(*keys, F.explode(F.sequence(F.col("g.lo"), F.col("g.hi"))).alias("timeline"),
-                    F.col("g.v").alias("survival_rate")).withColumn("timeline", F.col("timeline").cast("int"))
+    return x.select(*keys, F.explode(F.filter(segs, lambda z: z.isNotNull() & (z["lo"] <= z["hi"]))).alias("g"))
+
+
+def pack(curves: DataFrame, by=("ship_date",)) -> DataFrame:
+    """Curves as one row per (``by``, grp) with ``rates``; rows that are packed already stay as they are.
+
+    A timeline point that a curve lacks is NULL in its rates; two rates for one point fail."""
+    if "rates" in curves.columns:
+        return curves
+    point = F.struct("timeline", "survival_rate")
+    last, points = F.col("last"), F.col("points")
+    x = curves.groupBy(*by, "grp").agg(F.max("timeline").alias("last"), F.array_sort(F.collect_list(point)).alias("points"))
+    dense = (F.size("points") == last + 1) & (F.array_min(points["timeline"]) == 0) \
+        & (F.size(F.array_distinct(points["timeline"])) == F.size("points"))
+    rates = F.when(dense, points["survival_rate"]).otherwise(
+        F.transform(F.sequence(F.lit(0), last), lambda t: F.element_at(F.map_from_entries(points), t)))
+    return x.select(*by, "grp", rates.alias("rates"))
 
 
-def curves_wide(curves: DataFrame, keys=("ship_date",)) -> DataFrame:
-    """J12 one column per group (export form only; the pipeline stays long)."""
-    return curves.groupBy(*keys, "timeline").pivot("grp").agg(F.first("survival_rate"))
+def curve_keys(curves: DataFrame, by=("ship_date",)) -> DataFrame:
+    """(``by``, grp) of every curve, once each and without an aggregate: one row of a long curve is at timeline 0."""
+    rows = curves if "rates" in curves.columns else curves.filter(F.col("timeline") == 0)
+    return rows.select(*by, "grp")
 
 
-def curves_unpivot(wide: DataFrame, keys=("ship_date",)) -> DataFrame:
-    """D7 wide -> long (grp, timeline, survival_rate)."""
-    ids = list(keys) + ["timeline"]
-    vals = [c for c in wide.columns if c not in ids]
-    return (wide.unpivot(ids, vals, "grp", "survival_rate")
+def unpack(packed: DataFrame, by=("ship_date",)) -> DataFrame:
+    """Rows (``by``, grp, timeline, survival_rate) of packed curves."""
+    return (packed.select(*by, "grp", F.posexplode("rates").alias("timeline", "survival_rate"))
             .filter(F.col("survival_rate").isNotNull()))

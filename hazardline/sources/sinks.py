@@ -27,6 +27,10 @@ SURVIVAL_SCHEMA = T.StructType([
     T.StructField("grp", T.StringType(), False), T.StructField("timeline", T.IntegerType(), False),
     T.StructField("survival_rate", T.DecimalType(17, 15), False), T.StructField("ship_date", T.DateType(), False)])
 
+RATES = T.ArrayType(T.DecimalType(17, 15))
+PACKED_SCHEMA = T.StructType([T.StructField("grp", T.StringType(), False), T.StructField("rates", RATES, False),
+                              T.StructField("ship_date", T.DateType(), False)])
+
 
 def require(col: str, cond, message: str):
     """Fail the writing task (not the driver) when a row violates a sink constraint."""
@@ -45,6 +49,16 @@ def survival_rows(curves: DataFrame) -> DataFrame:
     )
 
 
+def packed_rows(packed: DataFrame) -> DataFrame:
+    """Packed curves in the sink's types, under the same constraints as :func:`survival_rows`."""
+    return packed.select(
+        require("grp", F.col("grp").isNotNull() & (F.length("grp") <= 20), "survival: bad grp").alias("grp"),
+        require("rates", F.coalesce(F.forall("rates", lambda r: r.isNotNull()), F.lit(False)), "survival: NULL rate")
+        .cast(RATES).alias("rates"),
+        require("ship_date", F.col("ship_date").isNotNull(), "survival: NULL ship_date").alias("ship_date"),
+    )
+
+
 def prediction_rows(final: DataFrame) -> DataFrame:
     cols = []
     for f in PREDICTION_SCHEMA.fields:

@@ -57,3 +57,18 @@ def test_gates_name_the_dates_and_nothing_is_replaced(spark):
         jobs.run_training_job(spark, src, reference_params(min_records=10**6, ship_dates=("2019-09-20",)), survival)
     assert table.manifest() == before and len(table._names("data")) == 1
     assert table.read().filter(F.col("ship_date") == dt.date(2019, 9, 20)).count() > 0
+
+
+def test_packed_curves_give_the_same_predictions(spark):
+    base, dates = fixture_tables(spark, SF001), ["2019-09-20", "2019-09-21"]
+    common = {"ship_dates": dates, "knowledge_time": REFERENCE_KT}
+    out = {}
+    for packed in (False, True):
+        survival, prediction = scratch_path(spark, "t-survival"), scratch_path(spark, "t-prediction")
+        stored = command.run_event(spark, {"mode": "weekly", **common}, base, survival, packed=packed, min_records=5)
+        assert ("rates" in stored.columns) == packed
+        rows = command.run_event(spark, {"mode": "hourly", **common}, base, survival, prediction)
+        out[packed] = sorted(map(str, rows.collect()))
+    assert out[True] and out[True] == out[False]
+    with pytest.raises(ValueError, match="other columns"):   # a table keeps its form
+        command.run_event(spark, {"mode": "weekly", **common}, base, survival, min_records=5)

@@ -51,3 +51,17 @@ def test_nothing_read_from_a_table_is_broadcast_by_hint(spark):
             while below < len(lines) and depth[below] > depth[i]:
                 assert "FileScan" not in lines[below], x
                 below += 1
+
+
+def test_stored_packed_curves_are_listed_by_their_keys_and_pruned_to_the_targets(spark):
+    from hazardline.session import scratch_path
+    src = fixture_sources(spark, SF001)
+    dates = ("2019-09-20", "2019-09-21")
+    path = scratch_path(spark, "packed")
+    jobs.run_training_job(spark, src, reference_params(min_records=5, ship_dates=dates), path, packed=True)
+    final = jobs.correct(spark, src, reference_params(ship_dates=dates[:1]), jobs.stored_curves(spark, path))
+    scans = [x for x in final._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x and "packed" in x]
+    assert len(scans) == 3 and all("PartitionFilters: [ship_date" in x or "PartitionFilters: [isnotnull(ship_date" in x for x in scans)
+    assert sum("rates" in x.split("ReadSchema")[1] for x in scans) == 1
+    aggregates = [x for x in final._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x]
+    assert not any("survival_rate" not in x and "timeline" in x for x in aggregates)

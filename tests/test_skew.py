@@ -80,3 +80,12 @@ def test_hot_join_of_nothing(spark):
     from hazardline.operators.hot import join_one_per_key
     side = spark.createDataFrame([], "k long, v long, n long")
     assert join_one_per_key(spark.range(3).withColumnRenamed("id", "k"), side, "k", "n", F.col("k")).count() == 0
+
+
+def test_a_null_key_may_be_hot_too(spark):
+    from pyspark.sql import functions as F
+    from hazardline.operators.hot import join_one_per_key
+    rows = spark.range(1000).select("id", F.when(F.col("id") >= 900, F.col("id") % 5).alias("k"))
+    side = rows.groupBy("k").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n"))
+    joined = join_one_per_key(rows, side, "k", "n", F.col("id"), share=100)
+    assert sorted(r.id for r in joined.collect()) == list(range(900, 1000))

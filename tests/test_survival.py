@@ -2,7 +2,7 @@
 
 import pytest
 
-from hazardline.operators.survival import curves_unpivot, curves_wide, kaplan_meier
+from hazardline.operators.survival import kaplan_meier, pack, packed_kaplan_meier, unpack
 
 SCHEMA = "ship_date string, grp string, lifespan long, died_bool boolean, weight long"
 
@@ -41,8 +41,24 @@ def test_null_group_dropped(spark):
     assert kaplan_meier(df, min_records=1).select("grp").distinct().collect()[0].grp == "g"
 
 
-def test_wide_long_round_trip(spark):
-    df = spark.createDataFrame([("d", g, t, True, 1) for g in ("a", "b") for t in (1, 3, 9)], SCHEMA)
-    c = kaplan_meier(df, min_records=1)
-    back = curves_unpivot(curves_wide(c)).select("ship_date", "grp", "timeline", "survival_rate")
-    assert back.exceptAll(c).count() == 0 and c.exceptAll(back).count() == 0
+def same(a, b):
+    cols = ["ship_date", "grp", "timeline", "survival_rate"]
+    return sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+
+
+def test_packed_curves_are_the_long_ones(spark):
+    rows = [("d", g, t, t % 2 == 0, 1 + t % 3) for g in ("a", "b") for t in (0, 1, 3, 9, 649, 650, 700)]
+    rows += [("e", "a", 5, True, 1), ("e", "c", -2, False, 1), ("e", "c", 8, True, 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    long, packed = kaplan_meier(df, min_records=1), packed_kaplan_meier(df, min_records=1)
+    assert packed.count() == 4 and {len(r.rates) for r in packed.collect()} == {650}
+    assert same(unpack(packed), long) and same(unpack(pack(long)), long)
+
+
+def test_packing_keeps_gaps_and_refuses_two_rates_for_a_point(spark):
+    schema = "ship_date string, grp string, timeline int, survival_rate double"
+    df = spark.createDataFrame([("d", "a", 1, 0.9), ("d", "a", 4, 0.5), ("d", "b", 0, 1.0)], schema)
+    assert same(unpack(pack(df)), df)
+    assert pack(spark.createDataFrame([], schema)).count() == 0
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY|uplicate map key"):
+        pack(spark.createDataFrame([("d", "a", 0, 0.9), ("d", "a", 0, 0.5)], schema)).collect()
