@@ -4,15 +4,17 @@
    remaining value is stored compressed: its number of leading zeros and the ``MANTISSA`` bits after them.
 2. Texts with the same set are one class; only its representative goes on.
 3. Banding: 51 bands of 5 compressed registers (empty ones borrow a fixed other bucket's register).
-4. Probing: in some bands at a time, bucket members are compared with one pivot of their bucket, not with each
-   other; a pair is dropped on its collision-corrected Jaccard estimate only if that is ``SIGMAS`` standard errors
-   below the threshold, the others are verified on their full shingle sets.  This joins most of a group of near
-   copies for a few comparisons per member.
+4. Probing: in some bands, bucket members are compared with one pivot of their bucket, not with each other; a pair
+   is dropped if its sizes allow no link, or on its collision-corrected Jaccard estimate only if that is ``SIGMAS``
+   standard errors below the threshold, the others are verified on their full shingle sets.  This joins most of a group
+   of near copies for a few comparisons per member.  Pivots are the smallest or the largest id of their bucket, so they
+   come with its count, and those of a group are much the same in every band.
 5. Settling: buckets of all bands that still hold several components are compared in full, so no link that banding
    finds is lost: buckets of up to ``SMALL`` members pair by pair as in 4, larger ones as pairs of blocks of about
    ``BLOCK`` members.  A component with many members in a bucket has blocks of its own, which meet only the blocks
    of others.  A block pair is one task's work of bounded size, whatever the size of the bucket, and gives
-   exact intersections by a matrix product over the shared shingles.  Only pairs of different components count.
+   exact intersections by a matrix product over the shared shingles.  Only pairs of different components count, and
+   what is found links components.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from hazardline.llm.textnp import blocks, mix, shingles, utf8, word_hashes
 BUCKET_BITS, MANTISSA = 8, 10
 BUCKETS = 1 << BUCKET_BITS
 BANDS, ROWS = 51, 5
-PROBES = ((0, 6), (6, 14))   # bands of each probing round
+PROBES = ((0, 6), (6, 14))   # probed bands; the pivot is the smallest id of a bucket in the first range, the largest in the next
 SIGMAS = 4.5
 SMALL, BLOCK = 3, 256
 _TAKE = np.random.RandomState(7).randint(0, BUCKETS, (24, BUCKETS))  # where an empty bucket borrows from
@@ -120,12 +122,13 @@ def _sketch(k: int):
 
 
 def _estimate(num: int, den: int):
-    """Pairs whose estimate is not clearly below the threshold."""
+    """Pairs whose sizes allow a link and whose estimate is not clearly below the threshold."""
     def run(batches):
         for b in batches:
             reg = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint16).reshape(-1, BUCKETS) for c in ("sketch", "pivot_sketch")]
-            j, err = jaccard_estimate(*reg, b.column("n").to_numpy(), b.column("pivot_n").to_numpy())
-            go = pa.array(np.flatnonzero(j + SIGMAS * err >= num / den))
+            n, m = b.column("n").to_numpy(), b.column("pivot_n").to_numpy()
+            j, err = jaccard_estimate(*reg, n, m)
+            go = pa.array(np.flatnonzero((j + SIGMAS * err >= num / den) & (den * np.minimum(n, m) >= num * np.maximum(n, m))))
             yield pa.RecordBatch.from_arrays([b.column("pivot").take(go), b.column("id").take(go)], names=["pivot", "id"])
     return run
 
@@ -170,20 +173,17 @@ def block_links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, com
 
 
 def _settle(k: int, num: int, den: int):
-    """Rows (key, i, j, own, id, c, text) sorted by (key, i, j): links between blocks i and j of a bucket."""
+    """Rows (key, i, j, own, id, c, text) sorted by (key, i, j): linked components between blocks i and j of a bucket."""
     def settle(t: pa.Table):
         own, i, j = (t.column(c).to_numpy() for c in ("own", "i", "j"))
         left, right = np.flatnonzero(own == i[0]), np.flatnonzero(own == j[0])
         if not len(left) or not len(right):
             return None
-        comp, ids = t.column("c").to_numpy(), t.column("id").to_numpy()
+        comp = t.column("c").to_numpy()
         if (comp == comp[0]).all():
             return None
         a, b = block_links(list(shingle_sets(t.column("text"), k)), left, right, comp, num, den)
-        a, b = left[a], right[b]
-        # one link joins two components; the members of each are joined already
-        one = np.unique(np.stack([comp[a], comp[b]], 1), axis=0, return_index=True)[1]
-        a, b = ids[a[one]], ids[b[one]]
+        a, b = comp[left[a]], comp[right[b]]
         return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
 
     def run(batches):
@@ -224,37 +224,35 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
     banded = stage(reps, "class-sketches")
 
     rows = banded.select("id", "n", F.posexplode("bands").alias("band", "key"))
-    buckets = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")).where("cnt > 1"), "buckets")
-    members = stage(join_counted(rows, buckets, "key", [], "cnt", F.col("id")), "members")
+    buckets = stage(rows.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("id").alias("low"), F.max("id").alias("high"))
+                    .where("cnt > 1"), "buckets")
+    pivot = F.lit(None).cast("long")
+    for i, (lo, hi) in enumerate(PROBES):
+        pivot = F.when((F.col("band") >= lo) & (F.col("band") < hi), F.col("high" if i % 2 else "low")).otherwise(pivot)
+    members = stage(join_counted(rows, buckets, "key", ["low", "high"], "cnt", F.col("id"))
+                    .select("key", "id", "n", pivot.alias("pivot")), "members")
     ids = stage(members.select("id").distinct(), "member-ids")     # stored, so that its size is known to the join
     d = stage(d.join(ids.withColumnRenamed("id", "doc_id"), "doc_id").dropDuplicates(["doc_id"]), "member-texts")
-    comp = done = None
-    for i, (lo, hi) in enumerate(PROBES):
-        here = _open_buckets(members.where((F.col("band") >= lo) & (F.col("band") < hi)), comp)
-        pivots = stage(here.groupBy("key").agg(F.min_by(F.struct("id", "n", "c"), F.xxhash64("id", F.lit(i))).alias("p"),
-                                               F.count(F.lit(1)).alias("cnt")), "pivots")
-        pairs = _pairs(join_counted(here, pivots, "key", ["p"], "cnt", F.col("id")), done, num, den)
-        done = pairs if done is None else done.union(pairs)
-        found = _verified(pairs, d, banded, k, num, den)
-        # the stars found so far stand for the links they come from
-        links = found if comp is None else found.union(comp.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        comp = stage(components(links), "components")
-
-    here = _open_buckets(members, comp)
-    few = here.where(F.col("cnt") <= SMALL)
-    mates = stage(few.groupBy("key").agg(F.collect_list(F.struct("id", "n", "c")).alias("ps")), "small-buckets")
-    pairs = _pairs(few.join(mates, "key").select("id", "n", "c", F.explode("ps").alias("p")).where("p.id < id"), done, num, den)
-    links = _verified(pairs, d, banded, k, num, den).union(comp.select(F.col("id").alias("a"), F.col("component").alias("b")))
-    many = stage(_block_pairs(here.where(F.col("cnt") > SMALL)), "block-pairs")
+    done = stage(members.where("pivot <> id").select(F.least("id", "pivot").alias("pivot"), F.greatest("id", "pivot").alias("id"))
+                 .distinct(), "pairs")
+    comp = stage(components(_verified(done, d, banded, k, num, den)), "components")
+
+    here, sizes = _open_buckets(members, comp)
+    pairs = _small_pairs(here.where(F.col("cnt") <= SMALL), done, num, den)
+    links = _verified(pairs, d, banded, k, num, den)
+    for end in ("a", "b"):
+        links = links.join(comp.toDF(end, "c"), end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    links = links.select("a", "b")
+    many = stage(_block_pairs(*(x.where(F.col("cnt") > SMALL) for x in (here, sizes))), "block-pairs")
     ids = many.select(F.col("id").alias("doc_id")).distinct()
     texts = stage(d.join(stage(ids, "block-ids"), "doc_id").withColumnRenamed("doc_id", "id"), "block-texts")
     many = many.join(texts, "id").select("key", "i", "j", "own", "id", "c", "text") \
         .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(lean(_settle(k, num, den)), "a long, b long")
-    links = stage(links.union(many), "all-links")
-    comp = stage(components(links), "final-components")
+    joined = stage(components(stage(links.union(many), "component-links")), "joined-components")
 
-    of_class = classes.join(comp.select(F.col("id").alias("rep"), "component"), "rep", "left") \
-        .select("set_hash", "copies", F.coalesce("component", "rep").alias("component"))
+    of_class = classes.join(comp.toDF("rep", "c"), "rep", "left").withColumn("c", F.coalesce("c", "rep")) \
+        .join(joined.withColumnRenamed("id", "c"), "c", "left") \
+        .select("set_hash", "copies", F.coalesce("component", "c").alias("component"))
     of_class = stage(of_class, "class-components")
     linked = join_counted(named.select("doc_id", "n", "set_hash"), of_class, "set_hash", ["component"], "copies", F.col("doc_id"))
     alone = sk.where("n = 0 OR doc_id IS NULL").select("doc_id", "n", "set_hash", F.col("doc_id").alias("component"))
@@ -263,39 +261,41 @@ def near_dedup(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_co
         F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
 
 
-def _open_buckets(members: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """Members (key, id, n, c, cnt) of the buckets that hold several components ``c``."""
-    if comp is None:
-        here = members.withColumn("c", F.col("id"))
-    else:
-        here = stage(members.join(comp.withColumnRenamed("component", "c"), "id", "left")
-                     .withColumn("c", F.coalesce("c", "id")), "with-components")
-    open_ = here.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"), F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1")
-    open_ = stage(open_.select("key", "cnt"), "open-buckets")
-    return stage(join_counted(here.select("key", "id", "n", "c"), open_, "key", ["cnt"], "cnt", F.col("id")), "open-members")
+def _open_buckets(members: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the buckets that hold several components ``c``, with their counts ``cnt``: members (key, id, n, c, size, cnt) and
+    components (of, key, c, size, cnt), ``size`` of them in the bucket."""
+    here = stage(members.select("key", "id", "n").join(comp.withColumnRenamed("component", "c"), "id", "left")
+                 .withColumn("c", F.coalesce("c", "id")), "with-components")
+    sizes = stage(here.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size")), "bucket-components")
+    open_ = stage(sizes.groupBy("key").agg(F.sum("size").alias("cnt"), F.count(F.lit(1)).alias("comps")).where("comps > 1"),
+                  "open-buckets")
+    of = F.struct("key", "c").alias("of")
+    sizes = stage(join_counted(sizes.select(of, "key", "c", "size"), open_, "key", ["cnt"], "comps", F.col("c")), "open-components")
+    here = join_counted(here.select(of, "key", "id", "n", "c"), sizes, "of", ["size", "cnt"], "size", F.col("id"))
+    return stage(here.drop("of"), "open-members"), sizes
 
 
-def _pairs(rows: DataFrame, done: DataFrame | None, num: int, den: int) -> DataFrame:
-    """Distinct pairs (pivot, id) of rows (id, n, c, p) of different components whose sizes allow a link, but for
-    the pairs compared before (``done``)."""
-    pairs = rows.where((F.col("c") != F.col("p.c")) & (F.lit(den) * F.least("n", "p.n") >= F.lit(num) * F.greatest("n", "p.n"))) \
-        .select(F.least("id", "p.id").alias("pivot"), F.greatest("id", "p.id").alias("id")).distinct()
-    return stage(pairs if done is None else pairs.join(done, ["pivot", "id"], "left_anti"), "pairs")
+def _small_pairs(rows: DataFrame, done: DataFrame, num: int, den: int) -> DataFrame:
+    """Distinct pairs (pivot, id) of members (key, id, n, c) of one bucket of at most SMALL members, of different
+    components and of sizes that allow a link, but for the pairs compared before (``done``)."""
+    mates = rows.groupBy("key").agg(F.collect_list(F.struct("id", "n", "c")).alias("ps"))
+    pairs = mates.select("ps", F.explode("ps").alias("p")).select("p", F.explode("ps").alias("q")) \
+        .where((F.col("p.id") < F.col("q.id")) & (F.col("p.c") != F.col("q.c"))
+               & (F.lit(den) * F.least("p.n", "q.n") >= F.lit(num) * F.greatest("p.n", "q.n"))) \
+        .select(F.col("p.id").alias("pivot"), F.col("q.id").alias("id"), F.lit(False).alias("seen"))
+    pairs = pairs.union(done.select("pivot", "id", F.lit(True)))
+    return stage(pairs.groupBy("pivot", "id").agg(F.max("seen").alias("seen")).where("NOT seen").select("pivot", "id"), "pairs")
 
 
-def _block_pairs(rows: DataFrame) -> DataFrame:
-    """(key, i, j, own, id, c): the members (key, id, c) of a bucket in blocks ``own``, once per block pair (i, j) of theirs.
+def _block_pairs(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(key, i, j, own, id, c): the members (key, id, c, size) of a bucket in blocks ``own``, once per block pair (i, j) of theirs.
 
     A component with at least BLOCK / 2 members in a bucket is a unit of its own; the others of the bucket are one
     unit.  Units are dealt to blocks by hash.  Blocks of one component need no comparison, so no pair is made of them.
     """
-    big = F.col("size") * 2 >= BLOCK
-    unit = F.struct("key", F.when(big, F.col("c")).alias("c"))
-    rows = rows.withColumn("of", F.struct("key", "c"))
-    sizes = stage(rows.groupBy("of").agg(F.count(F.lit(1)).alias("size")), "bucket-components")
-    rows = stage(join_counted(rows, sizes, "of", ["size"], "size", F.col("id"))
-                 .select("key", "id", "c", unit.alias("unit")), "bucket-units")
-    units = rows.groupBy("unit").agg(F.count(F.lit(1)).alias("cnt"))
+    unit = F.struct("key", F.when(F.col("size") * 2 >= BLOCK, F.col("c")).alias("c")).alias("unit")
+    rows = rows.select("key", "id", "c", unit)
+    units = sizes.select(unit, "size").groupBy("unit").agg(F.sum("size").alias("cnt"))
     units = stage(units.select("unit", "cnt", F.ceil(F.col("cnt") / BLOCK).cast("int").alias("blocks")), "units")
     # members of a component share a block, unless the component is a unit
     spread = F.pmod(F.when(F.col("unit.c").isNull(), F.xxhash64("c")).otherwise(F.xxhash64("id")), F.col("blocks"))

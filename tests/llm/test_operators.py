@@ -142,6 +142,56 @@ def test_components(spark):
     assert [got[i] for i in (1, 5, 11, 130, 7)] == [1, 1, 10, 7, 7] and 20 not in got
 
 
+def test_components_take_few_steps(spark, monkeypatch):
+    """Chains in the order of the ids, against it and in none, stars with a large centre, a ring: right, within a few stored tables."""
+    from hazardline.llm import components as m
+    stored, kept = [], m.stage
+    monkeypatch.setattr(m, "stage", lambda df, name: stored.append(name) or kept(df, name))
+    mixed = random.Random(5).sample(range(3000, 3200), 200)
+    chains = [list(range(1000, 1200)), mixed]
+    links = [x for c in chains for x in zip(c, c[1:])] + [(9000, i) for i in range(8000, 8300)] + [(500, 501), (501, 502), (502, 500)]
+    got = {r.id: r.component for r in m.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = {i: 1000 for i in chains[0]} | {i: 3000 for i in mixed} | {i: 8000 for i in [9000, *range(8000, 8300)]} | {i: 500 for i in (500, 501, 502)}
+    assert got == want
+    assert len(stored) <= 24        # two a round
+    stored.clear()
+    stars = [(1, i) for i in range(2, 50)] + [(100, i) for i in range(101, 300)]
+    assert {r.component for r in m.components(spark.createDataFrame(stars, "a long, b long")).collect()} == {1, 100}
+    assert len(stored) == 2
+
+
+def test_near_dedup_compares_each_pair_once_in_few_steps(spark, monkeypatch):
+    """Groups of near copies, chains of versions, exact copies: the links of all pairs, with two rounds of comparison."""
+    from hazardline.llm import near_dedup as m
+    stored, kept = [], m.stage
+    monkeypatch.setattr(m, "stage", lambda df, name: stored.append(name) or kept(df, name))
+    monkeypatch.setattr(m, "BLOCK", 8)
+    rnd, data = random.Random(11), []
+    for g in range(6):
+        base = words_of(rnd, 120).split()
+        for v in range(12):
+            w = list(base)
+            w[rnd.randrange(len(w))] = f"edit{g}x{v}"
+            data.append(" ".join(w))
+            if g % 2:
+                base = w            # versions: each differs from the one before
+        data += data[-1:] * 3
+    rnd.shuffle(data)
+    sets = [{tuple(t.split()[i:i + 4]) for i in range(len(t.split()) - 3)} for t in data]
+    comp = list(range(len(data)))
+    for _ in data:
+        before = list(comp)
+        for a in range(len(data)):
+            for b in range(len(data)):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    comp[a] = comp[b] = min(comp[a], comp[b])
+        if comp == before:
+            break
+    got = near_dedup(spark.createDataFrame(list(enumerate(data)), "doc_id long, text string"), k=4).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(enumerate(comp))
+    assert stored.count("likely") == stored.count("verified") == stored.count("open-members") + 1 == 2
+
+
 def test_repeats(docs):
     raw = [(r[0], (r[1] or "").encode()) for r in corpus()]
     seen = collections.Counter(t[i:i + 200] for _, t in raw for i in range(len(t) - 199))
