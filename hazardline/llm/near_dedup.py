@@ -267,10 +267,11 @@ def _open_buckets(members: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataF
     here = stage(members.select("key", "id", "n").join(comp.withColumnRenamed("component", "c"), "id", "left")
                  .withColumn("c", F.coalesce("c", "id")), "with-components")
     sizes = stage(here.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size")), "bucket-components")
-    open_ = stage(sizes.groupBy("key").agg(F.sum("size").alias("cnt"), F.count(F.lit(1)).alias("comps")).where("comps > 1"),
-                  "open-buckets")
+    open_ = stage(sizes.groupBy("key").agg(F.sum("size").alias("cnt"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+                  .select("key", "cnt"), "open-buckets")
     of = F.struct("key", "c").alias("of")
-    sizes = stage(join_counted(sizes.select(of, "key", "c", "size"), open_, "key", ["cnt"], "comps", F.col("c")), "open-components")
+    # a bucket may have very many components; both sides are plain shuffles, which Spark splits when skewed
+    sizes = stage(sizes.join(open_, "key").select(of, "key", "c", "size", "cnt"), "open-components")
     here = join_counted(here.select(of, "key", "id", "n", "c"), sizes, "of", ["size", "cnt"], "size", F.col("id"))
     return stage(here.drop("of"), "open-members"), sizes
 
